@@ -113,19 +113,34 @@ def arr_mean(a) -> Column:
     return arr_sum(a) / F.size(col(a))
 
 
+def let(expr, fn) -> Column:
+    """Evaluate ``expr`` once per row and pass it to ``fn`` as a lambda variable.
+
+    Lambda bodies re-evaluate outer expressions on every element; binding through a one-element ``transform``
+    keeps a nested forward pass linear in its depth.
+    """
+    return F.element_at(F.transform(F.array(col(expr)), fn), 1)
+
+
+def bind(a, fn) -> Column:
+    """``fn(column)`` for a column name; ``let`` for a computed expression."""
+    return fn(F.col(a)) if isinstance(a, str) else let(a, fn)
+
+
 def arr_softmax(a) -> Column:
     """Max-shifted softmax of one array; no shuffle, O(n) per row.
 
     The max and the sum are bound as lambda variables through ``aggregate(..., finish)`` so they are computed
     once per row instead of once per element.
     """
-    a = col(a)
+    def body(av):
+        def with_max(m):
+            e = F.transform(av, lambda x: F.exp(x - m))
+            return F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x, lambda s: F.transform(e, lambda x: x / s))
 
-    def with_max(m):
-        e = F.transform(a, lambda x: F.exp(x - m))
-        return F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x, lambda s: F.transform(e, lambda x: x / s))
+        return F.aggregate(av, F.lit(-INF), lambda acc, x: F.greatest(acc, x), with_max)
 
-    return F.aggregate(a, F.lit(-INF), lambda acc, x: F.greatest(acc, x), with_max)
+    return bind(a, body)
 
 
 def argmax(a) -> Column:
@@ -146,7 +161,7 @@ def lit_matrix_cols(w: np.ndarray) -> Column:
 def vec_matmul(a, w: np.ndarray, b: np.ndarray | None = None) -> Column:
     """Row vector times a driver-held [k, n] matrix (+ bias): map-side, no shuffle."""
     cols = lit_matrix_cols(w)
-    out = F.transform(cols, lambda wc: arr_dot(a, wc))
+    out = bind(a, lambda av: F.transform(cols, lambda wc: arr_dot(av, wc)))
     if b is not None:
         out = arr_binary("add", out, lit_array(np.asarray(b, dtype=np.float64)))
     return out

@@ -267,7 +267,9 @@ def q_fill_like(spark, d):
     return _li_ew(spark, d, elementwise.fill_like("vec", 0.5))
 
 
+from tablegrad.plans import catalog_train  # noqa: E402,F401  (registers the training queries)
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """The entry query; replaced by MLP training once the training plan is registered."""
-    fn = QUERIES.get("train_mlp") or QUERIES["loss_cross_entropy"]
-    return fn(spark, d)
+    return catalog_train.train_mlp_history(spark, d, epochs=2)
