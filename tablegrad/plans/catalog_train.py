@@ -220,7 +220,7 @@ def _partition_loss_sql() -> str:
                    "(PARTITION BY row_id % 4 ORDER BY row_id) - 1) // 32 AS INTEGER) AS batch_id FROM rl)",
                    "bl AS (SELECT part, batch_id, sum(l) / (count(*) * 10) AS bl, count(*) AS n FROM bt "
                    "GROUP BY part, batch_id)") + (
-        f"SELECT part, CAST(count(*) AS INTEGER) AS batches, sum(n) AS n, {S.r('avg(bl)')} AS avg_batch_loss "
+        f"SELECT part, CAST(count(*) AS INTEGER) AS batches, CAST(sum(n) AS BIGINT) AS n, {S.r('avg(bl)')} AS avg_batch_loss "
         "FROM bl GROUP BY part")
 
 
@@ -289,7 +289,7 @@ def q_minibatch_stack(spark, d):
 
 
 @register("minibatch_shuffle", "SELECT CAST(o_orderkey % 8 AS INTEGER) AS part, count(*) AS n, "
-          "sum(o_orderkey) AS id_sum FROM orders GROUP BY 1")
+          "CAST(sum(o_orderkey) AS BIGINT) AS id_sum FROM orders GROUP BY 1")
 def q_minibatch_shuffle(spark, d):
     """A reproducible shuffled batching; checked as a partition of the ids (every id once per part)."""
     b = batching.assign_batches(D.table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), "id", 8, 64,
