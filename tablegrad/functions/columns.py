@@ -97,8 +97,9 @@ def arr_binary(op: str, a, b) -> Column:
 
 def arr_scalar(op: str, a, s) -> Column:
     fn = BINARY[op]
-    s = s if isinstance(s, Column) else F.lit(float(s))
-    return F.transform(col(a), lambda x: fn(x, s))
+    if isinstance(s, Column):
+        return let(s, lambda sv: F.transform(col(a), lambda x: fn(x, sv)))
+    return F.transform(col(a), lambda x: fn(x, F.lit(float(s))))
 
 
 def arr_sum(a) -> Column:
@@ -123,8 +124,9 @@ def let(expr, fn) -> Column:
 
 
 def bind(a, fn) -> Column:
-    """``fn(column)`` for a column name; ``let`` for a computed expression."""
-    return fn(F.col(a)) if isinstance(a, str) else let(a, fn)
+    """``let`` for names too: the optimizer may inline a computed column into a lambda body (CollapseProject
+    counts one syntactic reference), which would recompute it per element."""
+    return let(col(a), fn)
 
 
 def arr_softmax(a) -> Column:
@@ -174,8 +176,8 @@ def one_hot(label, num_classes: int) -> Column:
         F.assert_true((lab >= 0) & (lab < num_classes) & lab.isNotNull(),
                       F.lit(f"one_hot: label outside [0, {num_classes})")).isNull(),
         lab.cast("int"))
-    return F.transform(F.sequence(F.lit(0), F.lit(num_classes - 1)),
-                       lambda c: F.when(c == checked, F.lit(1.0)).otherwise(F.lit(0.0)))
+    return let(checked, lambda lv: F.transform(F.sequence(F.lit(0), F.lit(num_classes - 1)),
+                                               lambda c: F.when(c == lv, F.lit(1.0)).otherwise(F.lit(0.0))))
 
 
 def size_guard(a, expected: int, what: str = "tensor") -> Column:

@@ -53,10 +53,10 @@ def grad_mul_scalar(rows: DataFrame, a: str, g: str, s: float):
 
 def grad_softmax(y, g) -> Column:
     """Softmax backward along the last axis in O(n): y * (g - sum(g*y))."""
-    def body(yv):
-        return F.aggregate(F.zip_with(yv, col(g), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v,
-                           lambda s: F.zip_with(yv, col(g), lambda yi, gi: yi * (gi - s)))
-    return bind(y, body)
+    def body(yv, gv):
+        return F.aggregate(F.zip_with(yv, gv, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v,
+                           lambda s: F.zip_with(yv, gv, lambda yi, gi: yi * (gi - s)))
+    return bind(y, lambda yv: bind(g, lambda gv: body(yv, gv)))
 
 
 def grad_softmax_cells(cells: DataFrame, slice_cols: Sequence[str], y: str = "y", g: str = "g",
@@ -107,7 +107,7 @@ def grad_mean_axis0(a, g_vec: np.ndarray, m: int) -> Column:
 def grad_mean_axis1(a, g) -> Column:
     """mean over columns: dA[i, j] = G[i] / n (G is a per-row scalar column)."""
     a = col(a)
-    return F.transform(a, lambda x: col(g) / F.size(a))
+    return bind(g, lambda gv: F.transform(a, lambda x: gv / F.size(a)))
 
 
 # ---------------------------------------------------------------- linear algebra rules
@@ -141,10 +141,8 @@ def grad_accumulate(contributions: Sequence[DataFrame], keys: Sequence[str], g:
 def grad_cross_entropy_logits(probs, target, scale: float) -> Column:
     """d/dz of ``scale * sum_c -t ln(p + eps)`` with p = softmax(z): p * (g - sum(g p)), g = -t/(p+eps)."""
     from tablegrad.operators.losses import LOG_EPS
-    gp = F.zip_with(col(probs), col(target), lambda p, t: -t / (p + F.lit(LOG_EPS)) * F.lit(scale))
-    return grad_softmax(probs, gp) if isinstance(probs, str) else bind(
-        probs, lambda pv: F.aggregate(F.zip_with(pv, gp, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v,
-                                      lambda s: F.zip_with(pv, gp, lambda pi, gi: pi * (gi - s))))
+    return bind(probs, lambda pv: grad_softmax(
+        pv, F.zip_with(pv, col(target), lambda p, t: -t / (p + F.lit(LOG_EPS)) * F.lit(scale))))
 
 
 def grad_mse(pred, target, scale: float) -> Column:
