@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegrad.functions.arrow import column, list_to_matrix, matrix_to_list
-from tablegrad.functions.columns import arr_dot, col, vec_matmul
+from tablegrad.functions.columns import arr_dot, col, size_guard, vec_matmul
 
 MAX_INLINE_PARAMS = 1 << 22  # 4M doubles = 32 MB: largest right-hand side shipped to every task
 EXPR_LIMIT = 4096            # above this many weights the numpy kernel beats array expressions
@@ -46,7 +46,7 @@ def rows_times_small(rows: DataFrame, w: np.ndarray, b: np.ndarray | None = None
     if method == "auto":
         method = "expr" if w.size <= EXPR_LIMIT else "arrow"
     if method == "expr":
-        return rows.select(*keep, vec_matmul(vec_col, w, b).alias(out_col))
+        return rows.select(*keep, vec_matmul(size_guard(vec_col, w.shape[0], "matmul"), w, b).alias(out_col))
     return _arrow_matmul(rows.select(*keep, vec_col), w, b, vec_col, out_col, keep)
 
 
