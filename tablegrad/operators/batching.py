@@ -1,41 +1,103 @@
 """Partitions, mini-batches and shuffling as table operators.
 
-``part = pmod(id, P)`` spreads unique ids evenly, so no partition is hot. Inside a partition, rows are numbered
-by id (a window over a ``repartition(P, part)`` that the window reuses, so one shuffle in total) and cut into
-batches of B; the last batch of a partition may be short. A reproducible shuffle orders by
+``part = pmod(id, P)`` spreads unique ids evenly. Inside a partition, rows are numbered by id with a distributed
+rank (range slices + per-slice offsets, see ``rank_within``), never a window holding a whole partition, and cut
+into batches of B; the last batch of a partition may be short. A reproducible shuffle orders by
 ``xxhash64(id, seed, epoch)`` instead of by id.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_PERSISTED: list = []
+
+
+def release() -> None:
+    """Unpersist the intermediate rank tables once the tables built from them are materialised."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def assign_partition(df: DataFrame, id_col: str, num_partitions: int, part: str = "part") -> DataFrame:
     return df.withColumn(part, F.pmod(F.col(id_col), F.lit(num_partitions)).cast("int"))
 
 
-def assign_batches(df: DataFrame, id_col: str, num_partitions: int, batch_size: int, shuffle_seed: int | None = None,
-                   epoch: int = 0, part: str = "part", repartition: bool = True) -> DataFrame:
-    """Adds ``part``, ``batch_id``, ``bsize`` (rows in this batch) and ``nbatches`` (batches in this part)."""
-    df = assign_partition(df, id_col, num_partitions, part) if part not in df.columns else df
-    if repartition:
-        df = df.repartition(num_partitions, part)
-    order = (F.xxhash64(F.col(id_col), F.lit(shuffle_seed), F.lit(epoch)) if shuffle_seed is not None
-             else F.col(id_col))
-    w = Window.partitionBy(part).orderBy(order, F.col(id_col))
-    wp = Window.partitionBy(part)
-    out = (df.withColumn("_rn", F.row_number().over(w) - 1)
-           .withColumn("_n", F.count(F.lit(1)).over(wp))
-           .withColumn("batch_id", F.floor(F.col("_rn") / batch_size).cast("int")))
+def rank_within(df: DataFrame, part: str, order_cols, num_slices: int | None = None, out: str = "rank") -> DataFrame:
+    """0-based rank of each row inside its ``part`` by ``order_cols``, without a window over a whole part.
+
+    Rows are range-partitioned on ``(part, order)`` into ``num_slices`` slices (sampling picks the bounds, so a
+    part holding a third of all rows is still cut into many slices). An Arrow kernel numbers rows inside each
+    slice; per-(slice, part) counts -- a table of about ``num_slices + parts`` rows, so its size is bounded by the
+    parameters, not the data -- give each slice's offset, broadcast back. Identical keys land in one slice.
+    """
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    spark = df.sparkSession
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    n = num_slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    ranged = df.repartitionByRange(n, part, *order_cols).sortWithinPartitions(part, *order_cols)
+    fields = list(df.schema.fields)
+    schema = T.StructType(fields + [T.StructField("_slice", T.IntegerType()), T.StructField("_local", T.LongType())])
+
+    def kernel(batches):
+        from pyspark import TaskContext
+        sid = TaskContext.get().partitionId()
+        last, carry = None, 0
+        for batch in batches:
+            m = batch.num_rows
+            if m == 0:
+                continue
+            pv = batch.column(batch.schema.get_field_index(part)).to_numpy(zero_copy_only=False)
+            idx = np.arange(m)
+            change = np.r_[True, pv[1:] != pv[:-1]]
+            local = idx - np.maximum.accumulate(np.where(change, idx, 0))
+            if last is not None and pv[0] == last:
+                nxt = np.nonzero(change[1:])[0]
+                end = int(nxt[0]) + 1 if len(nxt) else m
+                local[:end] += carry
+            last, carry = pv[-1], int(local[-1]) + 1
+            yield pa.RecordBatch.from_arrays(
+                list(batch.columns) + [pa.array(np.full(m, sid, dtype=np.int32)), pa.array(local.astype(np.int64))],
+                names=[f.name for f in fields] + ["_slice", "_local"])
+
+    ranked = ranged.mapInArrow(kernel, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(ranked)
+    counts = ranked.groupBy("_slice", part).agg((F.max("_local") + 1).alias("_cnt"))
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
+        Window.partitionBy(part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (ranked.join(F.broadcast(offsets.select("_slice", part, "_off")), ["_slice", part])
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
+            .drop("_slice", "_local", "_off"))
+
+
+def assign_batches(df: DataFrame, id_col, num_partitions: int, batch_size: int, shuffle_seed: int | None = None,
+                   epoch: int = 0, part: str = "part", num_slices: int | None = None) -> DataFrame:
+    """Adds ``part``, ``batch_id``, ``bsize`` (rows in this batch), ``nbatches`` (batches in this part) and
+    ``row_in_part``. ``id_col`` may be one column or a list (a total order; equal keys are interchangeable)."""
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    if part not in df.columns:
+        df = assign_partition(df, ids[0], num_partitions, part)
+    if shuffle_seed is not None:
+        df = df.withColumn("_shuffle", F.xxhash64(*[F.col(c) for c in ids], F.lit(shuffle_seed), F.lit(epoch)))
+        order = ["_shuffle", *ids]
+    else:
+        order = ids
+    ranked = rank_within(df, part, order, num_slices, out="row_in_part")
+    sizes = ranked.groupBy(part).agg(F.count("*").alias("_n"))  # one row per part: bounded by num_partitions
+    out = ranked.join(F.broadcast(sizes), part).withColumn(
+        "batch_id", F.floor(F.col("row_in_part") / batch_size).cast("int"))
     full = F.floor(F.col("_n") / batch_size)
     out = (out.withColumn("nbatches", F.ceil(F.col("_n") / batch_size).cast("int"))
            .withColumn("bsize", F.when(F.col("batch_id") < full, F.lit(batch_size))
                        .otherwise(F.col("_n") - full * batch_size).cast("int"))
-           .withColumnRenamed("_rn", "row_in_part")
            .drop("_n"))
-    return out.withColumn("row_in_part", F.col("row_in_part").cast("bigint"))
+    return out.drop("_shuffle") if shuffle_seed is not None else out
 
 
 def minibatch_stack(batched: DataFrame, id_col: str, features: str, target: str | None = None,

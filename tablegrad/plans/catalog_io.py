@@ -126,6 +126,8 @@ def q_batchnorm_train(spark, d):
     rows = li.select(*LI_KEYS, D.li_vec().alias("vec"), F.struct(*BN_ORDER).alias("ord"),
                      F.pmod("l_orderkey", F.lit(4)).cast("int").alias("part"))
     b = batching.assign_batches(rows, "ord", 4, 256)
+    # co-locate each batch once; the per-(batch, feature) statistics and the join back then need no shuffle
+    b = b.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part", "batch_id")
     c = b.select(*LI_KEYS, "part", "batch_id", F.posexplode("vec").alias("j", "x"))
     out = nn.batchnorm_train_cells(c, ["part", "batch_id"], BN_GAMMA, BN_BETA)
     return out.select(*LI_KEYS, "j", C.tidy("y").alias("y"))

@@ -53,7 +53,7 @@ def grad_table(pk: DataFrame, layers) -> DataFrame:
 
 
 def _packets(spark, d, layers, params, samples, cfg) -> DataFrame:
-    s = TR.prepare_samples(samples, "row_id", "features", "target", cfg)
+    s = TR.prepare_samples(samples, "row_id", "features", "target", cfg, TR.has_batch_norm(layers))
     n = s.count()
     return TR.packets(s, layers, params, cfg, n)
 

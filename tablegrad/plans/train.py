@@ -65,11 +65,28 @@ class TrainConfig:
     adam: dict = field(default_factory=dict)
 
 
-def prepare_samples(df: DataFrame, id_col: str, features: str, target: str, cfg: TrainConfig) -> DataFrame:
-    """Sample table with part / batch columns, repartitioned by part and ordered by id inside each part."""
+def prepare_samples(df: DataFrame, id_col: str, features: str, target: str, cfg: TrainConfig,
+                    whole_batches: bool = False) -> DataFrame:
+    """Sample table with part / batch columns.
+
+    Without batch norm the gradient is a per-sample sum, so rows stay in their rank slices. With batch norm every
+    mini-batch must sit whole in one task: rows are hash-partitioned by (part, batch_id) -- groups of at most B
+    rows -- and sorted so each batch is contiguous.
+    """
     b = batching.assign_batches(df.select(id_col, features, target), id_col, cfg.num_partitions, cfg.batch_size)
-    return b.select(F.col(id_col).alias("id"), F.col(features).alias("features"), F.col(target).alias("target"),
-                    "part", "batch_id", "bsize", "nbatches")
+    out = b.select(F.col(id_col).alias("id"), F.col(features).alias("features"), F.col(target).alias("target"),
+                   "part", "batch_id", "bsize", "nbatches")
+    n = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if cfg.barrier:
+        # a barrier stage needs one free slot per task and a plain shuffle boundary below it (no coalesce)
+        n = min(n, out.sparkSession.sparkContext.defaultParallelism)
+    if whole_batches or cfg.barrier:
+        out = out.repartition(n, "part", "batch_id").sortWithinPartitions("part", "batch_id", "id")
+    return out
+
+
+def has_batch_norm(layers) -> bool:
+    return any(isinstance(layer, BatchNorm1d) for layer in layers)
 
 
 def _out_width(layers) -> int:
@@ -254,8 +271,10 @@ def k_norm_of(layers, cfg: TrainConfig) -> int:
 def train(spark: SparkSession, df: DataFrame, id_col: str, features: str, target: str, layers,
           params: list[np.ndarray], cfg: TrainConfig):
     """Returns (final parameters, history DataFrame). One global optimizer step per epoch."""
-    samples = prepare_samples(df, id_col, features, target, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    samples = prepare_samples(df, id_col, features, target, cfg, has_batch_norm(layers)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     n_total = samples.count()
+    batching.release()
     opt = SGD(cfg.lr) if cfg.optimizer == "sgd" else Adam(lr=cfg.lr, **cfg.adam)
     k_norm = k_norm_of(layers, cfg)
     hist = []

@@ -42,7 +42,7 @@ def test_kernel_gradient_matches_finite_differences(spark, layers):
     y = np.eye(3)[rng.integers(0, 3, 37)]
     params = nn.init_params_np(layers, seed=3)
     cfg = TR.TrainConfig(loss="cross_entropy", batch_size=8, num_partitions=3)
-    s = TR.prepare_samples(_samples(spark, x, y), "row_id", "features", "target", cfg)
+    s = TR.prepare_samples(_samples(spark, x, y), "row_id", "features", "target", cfg, TR.has_batch_norm(layers))
     g = TR.collect_gradient(TR.packets(s, layers, params, cfg, len(x)), layers)
     ids = list(range(len(x)))
     h = 1e-6
