@@ -111,16 +111,45 @@ def grad_mean_axis1(a, g) -> Column:
 
 
 # ---------------------------------------------------------------- linear algebra rules
-def grad_linear(rows: DataFrame, x: str, g: str, w: np.ndarray, bias: bool = True, method: str = "auto"):
+def grad_linear(rows: DataFrame, x: str, g: str, w: np.ndarray, bias: bool = True, method: str = "auto",
+                mean: bool = False):
     """For ``Y = X·W (+ b)`` with upstream G in the same rows:
-    dW = Xᵀ·G (cells k, j), db = column sums of G (cells j), dX = G·Wᵀ (per row)."""
+    dW = Xᵀ·G (cells k, j), db = column sums of G (cells j), dX = G·Wᵀ (per row).
+
+    The bias gradient rides in the same aggregate as row k = in_features of ``[X, 1]ᵀ·G``, so the input is scanned
+    once; ``mean=True`` averages over rows instead of summing (the 1/N of a mean loss without a counting pass).
+    """
     w = np.asarray(w, dtype=np.float64)
-    dw = linalg.outer_sum(rows, x, g, method=method, width_a=w.shape[0], width_b=w.shape[1])
-    db = reduce.sum_axis0(rows.select(F.col(g).alias("vec")), out="v") if bias else None
+    k = w.shape[0]
+    if bias:
+        aug = rows.select(F.concat(F.col(x), F.array(F.lit(1.0))).alias("_xa"), F.col(g).alias("_g"))
+        both = linalg.outer_sum(aug, "_xa", "_g", method=method, width_a=k + 1, width_b=w.shape[1], mean=mean)
+        dw = both.where(F.col("k") < k)
+        db = both.where(F.col("k") == k).select("j", "v")
+    else:
+        dw = linalg.outer_sum(rows, x, g, method=method, width_a=k, width_b=w.shape[1], mean=mean)
+        db = None
     dx = vec_matmul(g, w.T)
     return dw, db, dx
 
 
+def linear_param_grads(rows: DataFrame, x: str, g: str, w: np.ndarray, weight_id: int = 0, bias_id: int = 1,
+                       names=("0.weight", "0.bias"), method: str = "auto", mean: bool = False) -> DataFrame:
+    """dW and db of a linear layer as one parameter-cell table ``(param_id, name, pos, grad)``.
+
+    Both come out of a single ``[X, 1]ᵀ·G`` aggregate (one scan, one small shuffle); the bias is row k = in.
+    """
+    w = np.asarray(w, dtype=np.float64)
+    k, n = w.shape
+    aug = rows.select(F.concat(F.col(x), F.array(F.lit(1.0))).alias("_xa"), F.col(g).alias("_g"))
+    both = linalg.outer_sum(aug, "_xa", "_g", method=method, width_a=k + 1, width_b=n, mean=mean)
+    is_b = F.col("k") == k
+    return both.select(F.when(is_b, F.lit(bias_id)).otherwise(F.lit(weight_id)).cast("int").alias("param_id"),
+                       F.when(is_b, F.lit(names[1])).otherwise(F.lit(names[0])).alias("name"),
+                       F.when(is_b, F.col("j")).otherwise(F.col("k") * n + F.col("j")).cast("int").alias("pos"),
+                       F.col("v").alias("grad"))
+
+
 def grad_matmul_cells(a: DataFrame, b: DataFrame, g: DataFrame):
     """General 2-D ``C = A·B`` in cells: dA = G·Bᵀ, dB = Aᵀ·G (two joins with swapped keys)."""
     da = linalg.cells_matmul(g, b, a_keys=("i", "j"), b_keys=("j", "k"), out="v").withColumnRenamed("k", "j")

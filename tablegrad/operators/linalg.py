@@ -105,23 +105,24 @@ def dot(a: DataFrame, b: DataFrame, k: str = "k", x: str = "x", y: str = "y", ou
 
 
 def outer_sum(rows: DataFrame, a_col: str, b_col: str, method: str = "auto", width_a: int | None = None,
-              width_b: int | None = None, out: str = "v") -> DataFrame:
+              width_b: int | None = None, out: str = "v", mean: bool = False) -> DataFrame:
     """``Σ_rows a ⊗ b`` = ``Aᵀ·B`` for two array columns of the same rows -> cells ``(k, j, v)``.
 
     'expr': explode both arrays, partial sum by (k, j) inside each task, final sum after one small shuffle.
     'arrow': numpy ``Aᵀ @ B`` per Arrow batch, then the same two-level sum.
+    ``mean=True`` divides by the row count inside the same aggregate (no separate counting pass).
     """
     if method == "auto":
         method = "arrow" if (width_a or 64) * (width_b or 64) > 256 else "expr"
     if method == "expr":
         ex = rows.select(F.posexplode(col(a_col)).alias("k", "_x"), col(b_col).alias("_g"))
         ex = ex.select("k", F.posexplode(F.transform("_g", lambda g: g * F.col("_x"))).alias("j", "_p"))
-        return ex.groupBy("k", "j").agg(F.sum("_p").alias(out))
+        return ex.groupBy("k", "j").agg((F.avg("_p") if mean else F.sum("_p")).alias(out))
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("j", T.IntegerType()),
-                           T.StructField("_p", T.DoubleType())])
+                           T.StructField("_p", T.DoubleType()), T.StructField("_n", T.LongType())])
 
     def kernel(batches):
-        acc = None
+        acc, rows_seen = None, 0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -129,11 +130,13 @@ def outer_sum(rows: DataFrame, a_col: str, b_col: str, method: str = "auto", wid
             g = list_to_matrix(column(batch, b_col))
             p = x.T @ g
             acc = p if acc is None else acc + p
+            rows_seen += batch.num_rows
         if acc is not None:
             kk, jj = np.meshgrid(np.arange(acc.shape[0], dtype=np.int32), np.arange(acc.shape[1], dtype=np.int32),
                                  indexing="ij")
-            yield pa.RecordBatch.from_arrays([pa.array(kk.ravel()), pa.array(jj.ravel()), pa.array(acc.ravel())],
-                                             names=["k", "j", "_p"])
+            yield pa.RecordBatch.from_arrays([pa.array(kk.ravel()), pa.array(jj.ravel()), pa.array(acc.ravel()),
+                                              pa.array(np.full(acc.size, rows_seen, dtype=np.int64))],
+                                             names=["k", "j", "_p", "_n"])
 
-    return (rows.select(a_col, b_col).mapInArrow(kernel, schema)
-            .groupBy("k", "j").agg(F.sum("_p").alias(out)))
+    agg = (F.sum("_p") / F.sum("_n")) if mean else F.sum("_p")
+    return rows.select(a_col, b_col).mapInArrow(kernel, schema).groupBy("k", "j").agg(agg.alias(out))

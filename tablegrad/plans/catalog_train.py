@@ -118,11 +118,7 @@ def linear_ce_grad_cells(spark, d) -> DataFrame:
     rows = rows.select("vec", grads.grad_cross_entropy_logits(C.arr_softmax("logits"),
                                                              C.one_hot("label", D.N_CLASSES),
                                                              1.0 / (n * D.N_CLASSES)).alias("dz"))
-    dw, db, _ = grads.grad_linear(rows, "vec", "dz", D.formula_w(64, 10))
-    return (dw.select(F.lit(0).alias("param_id"), F.lit("0.weight").alias("name"),
-                      (F.col("k") * 10 + F.col("j")).cast("int").alias("pos"), F.col("v").alias("grad"))
-            .unionByName(db.select(F.lit(1).alias("param_id"), F.lit("0.bias").alias("name"),
-                                   F.col("j").cast("int").alias("pos"), F.col("v").alias("grad"))))
+    return grads.linear_param_grads(rows, "vec", "dz", D.formula_w(64, 10))
 
 
 def lin_param_table(spark) -> DataFrame:
@@ -159,14 +155,10 @@ def _reg_grad_sql() -> str:
 def q_dp_gradient_linear(spark, d):
     """Linear regression gradient as a pure relational plan (no Python in the hot path)."""
     rows = D.li_regression(spark, d)
-    n = rows.count()
+    # d(mean loss) = mean over rows of the per-row gradient: averaged in the aggregate, one scan in total
     rows = rows.select("features", grads.grad_mse(C.vec_matmul("features", D.formula_w(3, 1), D.formula_b(1)),
-                                                  "target", 1.0 / n).alias("dz"))
-    dw, db, _ = grads.grad_linear(rows, "features", "dz", D.formula_w(3, 1), method="expr")
-    out = (dw.select(F.lit(0).alias("param_id"), F.lit("0.weight").alias("name"), F.col("k").cast("int").alias("pos"),
-                     F.col("v").alias("grad"))
-           .unionByName(db.select(F.lit(1).alias("param_id"), F.lit("0.bias").alias("name"),
-                                  F.col("j").cast("int").alias("pos"), F.col("v").alias("grad"))))
+                                                  "target", 1.0).alias("dz"))
+    out = grads.linear_param_grads(rows, "features", "dz", D.formula_w(3, 1), method="expr", mean=True)
     return out.select("param_id", "name", "pos", C.tidy("grad", GRAD_DIGITS).alias("grad"))
 
 
