@@ -55,6 +55,23 @@ def q_permute_3d(spark, d):
     return out.select("pos", C.tidy("v").alias("v"))
 
 
+@register("grad_permute", S.with_(S.EMB) + "SELECT 'permute' AS rule, row_id * 64 + j AS pos, "
+          f"{S.r('2.0 * x', 10)} AS grad FROM emb UNION ALL SELECT 'flatten', row_id * 64 + j, {S.r('3.0 * x', 10)} "
+          "FROM emb")
+def q_grad_permute(spark, d):
+    """Backward of permute (inverse permutation) and of flatten (reshape back), with data-derived upstream G."""
+    n = D.emb_rows(spark, d).count()
+    shape, axes = (n, 8, 8), (2, 0, 1)
+    fwd, fshape = layout.permute_cells(emb_flat(spark, d), shape, axes)
+    g = fwd.select("pos", (F.col("v") * 2.0).alias("v"))              # upstream gradient of the permuted tensor
+    back, bshape = layout.permute_cells(g, fshape, layout.inverse_axes(axes))
+    assert tuple(bshape) == shape
+    gf = emb_flat(spark, d).select("pos", (F.col("v") * 3.0).alias("v"))  # upstream gradient of the flattened tensor
+    unflat = layout.reshape_cells(gf, (n * 64,), (n, 64))
+    return (back.select(F.lit("permute").alias("rule"), "pos", C.tidy("v", 10).alias("grad"))
+            .unionByName(unflat.select(F.lit("flatten").alias("rule"), "pos", C.tidy("v", 10).alias("grad"))))
+
+
 @register("stack_rows", S.with_(S.EMB) + f"SELECT 0 AS rank, row_id, j, {S.r('x')} AS v FROM emb UNION ALL "
           f"SELECT 1, {N_SQL} + row_id, j, {S.r('2.0 * x')} FROM emb")
 def q_stack_rows(spark, d):
