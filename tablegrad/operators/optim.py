@@ -58,6 +58,25 @@ def clip_by_norm(grads: DataFrame, max_norm: float, key: str = "param_id", g: st
             .withColumn(g, F.col(g) * scale).drop("_norm"))
 
 
+def iterate_table_steps(params: DataFrame, grad_fn, steps: int, optimizer: str = "sgd", lr: float = 0.01,
+                        checkpoint_every: int = 5, **adam_kw) -> DataFrame:
+    """Run ``steps`` optimizer updates on a table-resident parameter set.
+
+    ``grad_fn(params) -> (param_id, pos, grad)`` builds the gradient plan at the current parameters. Each step
+    stacks another join onto the lineage, so every ``checkpoint_every`` steps the table is written with
+    ``checkpoint()`` to the shared ``spark.checkpoint.dir`` (reliable storage: a lost executor does not lose it).
+    """
+    from tablegrad.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(params.sparkSession)
+    p = params
+    for t in range(1, steps + 1):
+        g = grad_fn(p)
+        p = sgd_step(p, g, lr) if optimizer == "sgd" else adam_step(p, g, t, lr=lr, **adam_kw)
+        if checkpoint_every and t % checkpoint_every == 0:
+            p = p.checkpoint(eager=True)
+    return p
+
+
 # ---------------------------------------------------------------- driver-side (model-sized numpy)
 class SGD:
     def __init__(self, lr: float):

@@ -62,6 +62,7 @@ class TrainConfig:
     lr: float = 0.01
     clip: float | None = None
     barrier: bool = False
+    checkpoint_samples: bool = False     # write the prepared samples to spark.checkpoint.dir (survives lost executors)
     adam: dict = field(default_factory=dict)
 
 
@@ -271,8 +272,13 @@ def k_norm_of(layers, cfg: TrainConfig) -> int:
 def train(spark: SparkSession, df: DataFrame, id_col: str, features: str, target: str, layers,
           params: list[np.ndarray], cfg: TrainConfig):
     """Returns (final parameters, history DataFrame). One global optimizer step per epoch."""
-    samples = prepare_samples(df, id_col, features, target, cfg, has_batch_norm(layers)).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    samples = prepare_samples(df, id_col, features, target, cfg, has_batch_norm(layers))
+    if cfg.checkpoint_samples:
+        from tablegrad.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        samples = samples.checkpoint(eager=True)
+    else:
+        samples = samples.persist(StorageLevel.MEMORY_AND_DISK)
     n_total = samples.count()
     batching.release()
     opt = SGD(cfg.lr) if cfg.optimizer == "sgd" else Adam(lr=cfg.lr, **cfg.adam)

@@ -148,3 +148,42 @@ def test_running_stats_closed_form_equals_fold(spark):
         rm = 0.9 * rm + 0.1 * means[b]
         rv = 0.9 * rv + 0.1 * vars_[b]
     assert abs(r.running_mean - rm) < 1e-12 and abs(r.running_var - rv) < 1e-12
+
+
+def test_table_resident_steps_cut_lineage(spark):
+    """Iterated table optimizer steps equal the driver loop; checkpoints keep the plan short."""
+    from tablegrad.operators import optim
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(30, 2))
+    y = x @ np.array([[0.5], [-1.0]]) + 0.25
+    layers = [nn.Linear(2, 1)]
+    p0 = [np.zeros((2, 1)), np.zeros(1)]
+    data = spark.createDataFrame([(x[i].tolist(), y[i].tolist()) for i in range(30)],
+                                 "features array<double>, target array<double>")
+
+    def grad_fn(ptab):
+        w, b = nn.table_to_params(ptab, layers)
+        from tablegrad.operators import grads as G
+        rows = data.select("features", G.grad_mse(C.vec_matmul("features", w, b), "target", 1.0).alias("dz"))
+        return G.linear_param_grads(rows, "features", "dz", w, mean=True)
+
+    out = optim.iterate_table_steps(nn.params_to_table(spark, layers, p0), grad_fn, steps=6, lr=0.1,
+                                    checkpoint_every=3)
+    got = nn.table_to_params(out, layers)
+    w, b = p0
+    for _ in range(6):
+        err = x @ w + b - y
+        w, b = w - 0.1 * x.T @ (2 * err) / 30, b - 0.1 * (2 * err).sum(axis=0) / 30
+    assert np.allclose(got[0], w) and np.allclose(got[1], b)
+
+
+def test_checkpointed_samples_train_the_same(spark):
+    from tablegrad.plans.catalog_train import MLP_LAYERS, emb_samples
+    out = []
+    for ck in (False, True):
+        cfg = TR.TrainConfig(batch_size=32, num_partitions=4, epochs=2, optimizer="adam", lr=0.01,
+                             checkpoint_samples=ck)
+        params, _ = TR.train(spark, emb_samples(spark, SF), "row_id", "features", "target", MLP_LAYERS,
+                             nn.init_params_np(MLP_LAYERS, 7), cfg)
+        out.append(np.concatenate([p.ravel() for p in params]))
+    assert np.allclose(out[0], out[1], atol=1e-12)
