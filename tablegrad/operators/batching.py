@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 
 _PERSISTED: list = []
+MAX_BROADCAST_ROWS = 2_000_000  # rows of a side table we allow to broadcast after counting it
 
 
 def release() -> None:
@@ -68,12 +69,18 @@ def rank_within(df: DataFrame, part: str, order_cols, num_slices: int | None = N
 
     ranked = ranged.mapInArrow(kernel, schema).persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(ranked)
-    counts = ranked.groupBy("_slice", part).agg((F.max("_local") + 1).alias("_cnt"))
+    counts = ranked.groupBy("_slice", part).agg((F.max("_local") + 1).alias("_cnt")).persist()
+    _PERSISTED.append(counts)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.partitionBy(part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (ranked.join(F.broadcast(offsets.select("_slice", part, "_off")), ["_slice", part])
-            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_slice", "_local", "_off"))
+    offsets = offsets.select("_slice", part, "_off")
+    # about slices + parts rows; counted before it is broadcast (``part`` may be any caller column)
+    small = counts.count() <= MAX_BROADCAST_ROWS
+    ranked_out = (ranked.join(F.broadcast(offsets) if small else offsets, ["_slice", part])
+                  .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
+                  .drop("_slice", "_local", "_off"))
+    ranked_out._tablegrad_counts = counts
+    return ranked_out
 
 
 def assign_batches(df: DataFrame, id_col, num_partitions: int, batch_size: int, shuffle_seed: int | None = None,
@@ -89,8 +96,11 @@ def assign_batches(df: DataFrame, id_col, num_partitions: int, batch_size: int,
     else:
         order = ids
     ranked = rank_within(df, part, order, num_slices, out="row_in_part")
-    sizes = ranked.groupBy(part).agg(F.count("*").alias("_n"))  # one row per part: bounded by num_partitions
-    out = ranked.join(F.broadcast(sizes), part).withColumn(
+    # rows per part from the small per-(slice, part) count table, not from another pass over the data
+    counts = ranked._tablegrad_counts
+    sizes = counts.groupBy(part).agg(F.sum("_cnt").alias("_n"))
+    small = counts.count() <= MAX_BROADCAST_ROWS
+    out = ranked.join(F.broadcast(sizes) if small else sizes, part).withColumn(
         "batch_id", F.floor(F.col("row_in_part") / batch_size).cast("int"))
     full = F.floor(F.col("_n") / batch_size)
     out = (out.withColumn("nbatches", F.ceil(F.col("_n") / batch_size).cast("int"))
