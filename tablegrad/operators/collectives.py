@@ -26,13 +26,12 @@ def all_reduce(df: DataFrame) -> DataFrame:
     return df.select("job", "rank").join(s, "job")
 
 
-def gather(df: DataFrame, root: int = 0, width: int | None = None) -> DataFrame:
+def gather(df: DataFrame, root: int = 0, width: int = 1) -> DataFrame:
     """The root receives the concatenation by rank -> cells (job, rank=root, pos = src_rank*width + i, x).
 
-    Other ranks receive an empty vector, i.e. no cells.
+    Other ranks receive an empty vector, i.e. no cells. ``width`` is the per-rank vector length.
     """
     c = _cells(df)
-    w = width if width is not None else F.size(df["vec"])
     return c.select("job", F.lit(root).cast("int").alias("rank"),
                     (F.col("rank") * F.lit(width) + F.col("pos")).cast("int").alias("pos"), "x")
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegrad.functions import columns as C
-from tablegrad.operators import batching, grads, linalg, nn, optim, reduce
+from tablegrad.operators import batching, grads, nn, optim
 from tablegrad.plans import data as D
 from tablegrad.plans import sqlparts as S
 from tablegrad.plans import train as TR
-from tablegrad.plans.catalog import LI_KEYS, SOFTMAX_LOGITS_SQL, cells, emb_logits, register, weight_cells
+from tablegrad.plans.catalog import LI_KEYS, SOFTMAX_LOGITS_SQL, cells, emb_logits, register
 
 GRAD_DIGITS = 10
 
