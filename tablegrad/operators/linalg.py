@@ -113,7 +113,9 @@ def outer_sum(rows: DataFrame, a_col: str, b_col: str, method: str = "auto", wid
     ``mean=True`` divides by the row count inside the same aggregate (no separate counting pass).
     """
     if method == "auto":
-        method = "arrow" if (width_a or 64) * (width_b or 64) > 256 else "expr"
+        # measured on 600k x 4 rows: numpy per Arrow batch beats exploding into width_a x width_b rows even for
+        # narrow layers (the exploded path interprets lambdas per generated row)
+        method = "arrow"
     if method == "expr":
         ex = rows.select(F.posexplode(col(a_col)).alias("k", "_x"), col(b_col).alias("_g"))
         ex = ex.select("k", F.posexplode(F.transform("_g", lambda g: g * F.col("_x"))).alias("j", "_p"))

@@ -152,12 +152,12 @@ def _reg_grad_sql() -> str:
 
 @register("dp_gradient_linear", _reg_grad_sql())
 def q_dp_gradient_linear(spark, d):
-    """Linear regression gradient as a pure relational plan (no Python in the hot path)."""
+    """Linear regression gradient: per-row expressions, then one ``[X, 1]ᵀ·G`` aggregate (numpy per Arrow batch)."""
     rows = D.li_regression(spark, d)
     # d(mean loss) = mean over rows of the per-row gradient: averaged in the aggregate, one scan in total
     rows = rows.select("features", grads.grad_mse(C.vec_matmul("features", D.formula_w(3, 1), D.formula_b(1)),
                                                   "target", 1.0).alias("dz"))
-    out = grads.linear_param_grads(rows, "features", "dz", D.formula_w(3, 1), method="expr", mean=True)
+    out = grads.linear_param_grads(rows, "features", "dz", D.formula_w(3, 1), mean=True)
     return out.select("param_id", "name", "pos", C.tidy("grad", GRAD_DIGITS).alias("grad"))
 
 
