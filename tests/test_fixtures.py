@@ -124,3 +124,18 @@ def test_collectives(spark):
     assert [r.x for r in g] == [0.0, 1.0, 2.0, 3.0] and {r.rank for r in g} == {0}
     rs = collectives.reduce_scatter(job([[1, 1, 1, 1]] * 4), world=4, width=4).collect()
     assert sorted(r.rank for r in rs) == [0, 1, 2, 3] and all(r.x == 4.0 for r in rs)
+
+
+def test_softmax_any_axis_and_invalid_axis(spark):
+    from tablegrad.operators import activations
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2, 3, 4))
+    cells = spark.createDataFrame([(int(p), float(v)) for p, v in enumerate(x.ravel())], "pos bigint, v double")
+    for axis in (0, 1, -1):
+        got = np.zeros(x.size)
+        for r in activations.softmax_cells(cells, x.shape, axis=axis).collect():
+            got[r.pos] = r.p
+        e = np.exp(x - x.max(axis=axis, keepdims=True))
+        assert close(got.reshape(x.shape), e / e.sum(axis=axis, keepdims=True))
+    with pytest.raises(ValueError):
+        activations.softmax_cells(cells, x.shape, axis=3)
