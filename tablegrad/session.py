@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -33,9 +34,29 @@ def get_session(master: str | None = None, app: str = "tablegrad", shuffle_parti
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that kernels import it from any working folder."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tablegrad_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(root):  # already running from a shipped archive
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="tablegrad-pkg-"), "tablegrad_pkg.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("tablegrad", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    sc._tablegrad_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -46,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tablegrad-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
