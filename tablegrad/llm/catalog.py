@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality, secret_scan
+from . import chat, decontam, jaccard, packing, quality, secret_scan
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -64,5 +72,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_records(records, "conv_id", "record"))
 
 
-QUERIES = {"op6_packing": op6_packing, "op7_secrets": op7_secrets, "op8_quality": op8_quality, "op9_chat": op9_chat}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir).drop("ids")
+
+
+QUERIES = {"pipeline": pipeline, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_decontamination": op4_decontamination,
+           "op6_packing": op6_packing, "op7_secrets": op7_secrets, "op8_quality": op8_quality, "op9_chat": op9_chat}
 ORACLES = {"op8_quality": OP8_SQL}
