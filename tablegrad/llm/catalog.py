@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, packing, quality, secret_scan
+from . import chat, decontam, jaccard, maxent, packing, quality, secret_scan
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,6 +19,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = maxent.held_out("doc_id")
+    model = maxent.train(docs.where(~out))
+    scored = maxent.score(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
+                         "base_score", "score")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -78,5 +87,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"pipeline": pipeline, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_decontamination": op4_decontamination,
-           "op6_packing": op6_packing, "op7_secrets": op7_secrets, "op8_quality": op8_quality, "op9_chat": op9_chat}
+           "op5_lm_scoring": op5_lm_scoring, "op6_packing": op6_packing, "op7_secrets": op7_secrets, "op8_quality": op8_quality, "op9_chat": op9_chat}
 ORACLES = {"op8_quality": OP8_SQL}
