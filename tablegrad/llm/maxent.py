@@ -41,10 +41,10 @@ START = UNITS  # what stands before a text
 NEAR = 256
 CLASSES = 64
 BUCKETS = 1 << 14
-#: Words back of each feature: bigram, trigram, and two that skip.
-FEATURES = ((1,), (1, 2), (2,), (3,))
-BATCH = 8192
-ROUNDS = 2
+#: Words back of each feature: bigram, trigram, and one that skips a word.
+FEATURES = ((1,), (1, 2), (2,))
+BATCH = 16384
+ROUNDS = 1
 RATE = 0.5
 _FLUSH = 1 << 20
 _BLOCK = 1 << 14
@@ -226,6 +226,20 @@ def _batches(vocab: Vocabulary, raw: np.ndarray, off: np.ndarray):
     return h, at, known, first, _contexts(unit, first), vocab.classes[unit]
 
 
+def _segment_sums(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each segment (``at``: where they begin), by adding neighbours until one row is left."""
+    size = np.diff(np.r_[at, len(x)])
+    while len(size) and size.max() > 1:
+        begin = np.cumsum(size) - size
+        place = np.arange(len(x)) - np.repeat(begin, size)
+        even = (place & 1) == 0
+        first = np.flatnonzero(even & (place + 1 < np.repeat(size, size)))
+        x[first] += x[first + 1]
+        x = x[even]
+        size = (size + 1) >> 1
+    return x
+
+
 def _round(docs: DataFrame, vocab, weights: np.ndarray, rate: float) -> np.ndarray:
     """One round: every task's gradient steps over its texts, averaged over tasks by tokens."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
@@ -240,12 +254,12 @@ def _round(docs: DataFrame, vocab, weights: np.ndarray, rate: float) -> np.ndarr
                 f, t = feats[i:i + BATCH], target[i:i + BATCH]
                 g = np.exp(_log_softmax(w, f))
                 g[np.arange(len(t)), t] -= 1
-                flat = f.ravel()
+                flat = f[:, 1:].ravel()  # the bias, bucket 0 of every row, is summed by itself
                 order = np.argsort(flat, kind="stable")
                 key = flat[order]
                 at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-                step = np.add.reduceat(g[order // f.shape[1]], at, axis=0)
-                u = key[at]
+                step = np.concatenate([g.sum(0, keepdims=True), _segment_sums(g[order // (f.shape[1] - 1)], at)])
+                u = np.r_[np.uint16(0), key[at]]
                 power[u] += (step * step).mean(1)
                 w[u] -= rate * step / np.sqrt(power[u])[:, None]
                 seen += len(t)
