@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, maxent, packing, quality, secret_scan
+from . import chat, decontam, jaccard, maxent, packing, quality, secret_scan, toxicity
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -86,6 +93,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir).drop("ids")
 
 
-QUERIES = {"pipeline": pipeline, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_decontamination": op4_decontamination,
+QUERIES = {"pipeline": pipeline, "op2_toxicity": op2_toxicity, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_decontamination": op4_decontamination,
            "op5_lm_scoring": op5_lm_scoring, "op6_packing": op6_packing, "op7_secrets": op7_secrets, "op8_quality": op8_quality, "op9_chat": op9_chat}
 ORACLES = {"op8_quality": OP8_SQL}
