@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, maxent, packing, quality, secret_scan, toxicity
+from . import chat, decontam, html, jaccard, maxent, packing, quality, secret_scan, toxicity
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -93,6 +98,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir).drop("ids")
 
 
-QUERIES = {"pipeline": pipeline, "op2_toxicity": op2_toxicity, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_decontamination": op4_decontamination,
+QUERIES = {"pipeline": pipeline, "op1_html": op1_html, "op2_toxicity": op2_toxicity, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_decontamination": op4_decontamination,
            "op5_lm_scoring": op5_lm_scoring, "op6_packing": op6_packing, "op7_secrets": op7_secrets, "op8_quality": op8_quality, "op9_chat": op9_chat}
 ORACLES = {"op8_quality": OP8_SQL}
