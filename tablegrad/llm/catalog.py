@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html, jaccard, maxent, packing, quality, secret_scan, toxicity
+from . import chat, decontam, html, jaccard, maxent, packing, passages, quality, secret_scan, toxicity
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -93,11 +93,16 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_records(records, "conv_id", "record"))
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir).drop("ids")
 
 
 QUERIES = {"pipeline": pipeline, "op1_html": op1_html, "op2_toxicity": op2_toxicity, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_decontamination": op4_decontamination,
-           "op5_lm_scoring": op5_lm_scoring, "op6_packing": op6_packing, "op7_secrets": op7_secrets, "op8_quality": op8_quality, "op9_chat": op9_chat}
+           "op5_lm_scoring": op5_lm_scoring, "op6_packing": op6_packing, "op7_secrets": op7_secrets, "op8_quality": op8_quality, "op9_chat": op9_chat,
+           "op10_passages": op10_passages}
 ORACLES = {"op8_quality": OP8_SQL}
