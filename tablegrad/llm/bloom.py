@@ -66,14 +66,17 @@ def possible(df: DataFrame, key: Column, bloom: Bloom, member: bool = True) -> D
     """The rows of ``df`` whose key (hashed by Spark) may be a member, or those that surely aren't one."""
     shared = df.sparkSession.sparkContext.broadcast(bloom)
     names = df.columns
+    hashed = "_hash"
+    while hashed in names:
+        hashed += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hit = shared.value.test(np.ascontiguousarray(ints(b, "_h")))
+            hit = shared.value.test(np.ascontiguousarray(ints(b, hashed)))
             if (hit if member else ~hit).any():
                 yield b.filter(pa.array(hit if member else ~hit)).select(names)
 
-    return df.select("*", F.xxhash64(key).alias("_h")).mapInArrow(run, df.schema)
+    return df.select("*", F.xxhash64(key).alias(hashed)).mapInArrow(run, df.schema)
 
 
 def without_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:

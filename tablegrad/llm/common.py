@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tablegrad.session import ensure_checkpoint_dir, ship_package
+from tablegrad.session import scratch_path, ship_package
 
 #: Bytes of text that one numpy step handles; a longer single text is one step of its own.
 PIECE_BYTES = 2 << 20
@@ -20,9 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder; survives the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as a table to the shared folder named by spark.checkpoint.dir, and read again.
+
+    It survives the loss of executors, and unlike a checkpoint it is planned with its true size: loops of joins over
+    checkpoints multiply their estimated sizes without end.
+    """
+    path = scratch_path(df.sparkSession, f"llm-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

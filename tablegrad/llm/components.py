@@ -2,7 +2,7 @@
 
 Every node takes the smallest id among itself and its neighbours as its label, and the edges between labels form the
 next, smaller graph. Labels are minima that Spark sums up in part before it shuffles, so a hub with very many
-neighbours is no problem; each round is checkpointed, nothing is collected but counts.
+neighbours is no problem; each round is written to the shared folder, nothing is collected but counts.
 """
 
 from __future__ import annotations
