@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 
 from tablegrad.operators.losses import LOG_EPS
-from tablegrad.operators.nn import BatchNorm1d, Linear, ReLU, Sigmoid, Softmax
+from tablegrad.operators.nn import BatchNorm1d, CustomLayer, Linear, ReLU, Sigmoid, Softmax
 
 
 def softmax_np(z: np.ndarray) -> np.ndarray:
@@ -21,7 +21,7 @@ def softmax_np(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def forward(x: np.ndarray, layers, params, training: bool = True, bn_running=None):
+def forward(x: np.ndarray, layers, params, training: bool = True, bn_running=None, stats: dict | None = None):
     """Returns the output and the tape (per-layer cached values) for ``backward``."""
     tape = []
     it = iter(params)
@@ -48,18 +48,32 @@ def forward(x: np.ndarray, layers, params, training: bool = True, bn_running=Non
             if training:
                 mu = out.mean(axis=0)
                 var = ((out - mu) ** 2).mean(axis=0)
+                if stats is not None:
+                    held = stats.setdefault(k, [np.zeros_like(mu), np.zeros_like(var), 0])
+                    held[0], held[1], held[2] = held[0] + mu, held[1] + var, held[2] + 1
             else:
                 mu, var = (bn_running or {}).get(k, (np.zeros(layer.num_features), np.ones(layer.num_features)))
             inv = 1.0 / np.sqrt(var + layer.eps)
             xhat = (out - mu) * inv
             tape.append(("bn", xhat, inv, g, layer.affine, training))
             out = xhat * g + bt
+        elif isinstance(layer, CustomLayer):
+            own = [next(it) for _ in layer.shapes]
+            out, saved = layer.forward(out, *own)
+            tape.append(("custom", layer, saved))
+        else:
+            raise ValueError(f"unknown layer {layer!r}")
     return out, tape
 
 
-def loss_and_grad(out: np.ndarray, target: np.ndarray, loss: str, reduction: str = "elements",
+def loss_and_grad(out: np.ndarray, target: np.ndarray, loss, reduction: str = "elements",
                   inputs: str = "logits"):
-    """Per-row loss sums (before normalisation) and d(sum of row losses)/d(out)."""
+    """Per-row loss sums (before normalisation) and d(sum of row losses)/d(out).
+
+    ``loss`` is a name or a user's function ``(out, target) -> (row losses, gradient by out)``.
+    """
+    if callable(loss):
+        return loss(out, target)
     if loss == "mse":
         diff = out - target
         return (diff * diff).sum(axis=1), 2.0 * diff
@@ -98,6 +112,10 @@ def backward(tape, grad_out: np.ndarray) -> list[np.ndarray]:
             g = g * y * (1.0 - y)
         elif kind == "softmax":
             g = out_softmax_backward(entry[1], g)
+        elif kind == "custom":
+            _, layer, saved = entry
+            g, own = layer.backward(saved, g)
+            grads.extend(reversed(list(own)))
         elif kind == "bn":
             _, xhat, inv, gamma, affine, training = entry
             if affine:
@@ -113,9 +131,9 @@ def backward(tape, grad_out: np.ndarray) -> list[np.ndarray]:
 
 
 def batch_gradient(x, y, layers, params, loss: str, weights: np.ndarray, reduction: str = "elements",
-                   inputs: str = "logits", training: bool = True):
+                   inputs: str = "logits", training: bool = True, stats: dict | None = None):
     """Weighted gradient of ``sum_i weights_i * rowloss_i`` and the unweighted row losses."""
-    out, tape = forward(x, layers, params, training=training)
+    out, tape = forward(x, layers, params, training=training, stats=stats)
     row_loss, dout = loss_and_grad(out, y, loss, reduction, inputs)
     grads = backward(tape, dout * weights[:, None])
     return grads, row_loss

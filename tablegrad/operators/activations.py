@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from tablegrad.functions.columns import arr_softmax, arr_unary
 from tablegrad.operators.layout import numel
 
-MAX_BROADCAST_SLICES = 1 << 20
-
 
 def act_relu(a) -> Column:
     return arr_unary("relu", a)
@@ -32,8 +30,8 @@ def softmax_cells(cells: DataFrame, shape: Sequence[int], axis: int = -1, pos: s
 
     A slice is every cell sharing the indices off ``axis``: key = (pos div (A*inner), pos % inner). The
     per-slice max and exp-sum are aggregates (partial aggregation map-side) joined back on the slice key.
-    When the slice count (known from the shape, so proven) is small -- e.g. axis 0 of a tall matrix -- the stats
-    table is broadcast; slices are never gathered into one task, so a long axis does not become one group.
+    Adaptive execution broadcasts the statistics where they are small; slices are never gathered into one task, so a
+    long axis does not become one group.
     """
     nd = len(shape)
     ax = axis + nd if axis < 0 else axis
@@ -41,13 +39,9 @@ def softmax_cells(cells: DataFrame, shape: Sequence[int], axis: int = -1, pos: s
         raise ValueError(f"softmax: invalid axis {axis} for shape {tuple(shape)}")
     a_len = shape[ax]
     inner = numel(shape[ax + 1:])
-    n_slices = numel(shape) // a_len
     keyed = cells.select(pos, v, F.expr(f"(`{pos}` div {a_len * inner}) * {inner} + `{pos}` % {inner}").alias("_slice"))
 
-    def bc(df):
-        return F.broadcast(df) if n_slices <= MAX_BROADCAST_SLICES else df
-
     mx = keyed.groupBy("_slice").agg(F.max(v).alias("_m"))
-    shifted = keyed.join(bc(mx), "_slice").select(pos, "_slice", F.exp(F.col(v) - F.col("_m")).alias("_e"))
+    shifted = keyed.join(mx, "_slice").select(pos, "_slice", F.exp(F.col(v) - F.col("_m")).alias("_e"))
     tot = shifted.groupBy("_slice").agg(F.sum("_e").alias("_s"))
-    return shifted.join(bc(tot), "_slice").select(pos, (F.col("_e") / F.col("_s")).alias(out))
+    return shifted.join(tot, "_slice").select(pos, (F.col("_e") / F.col("_s")).alias(out))

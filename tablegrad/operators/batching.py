@@ -3,24 +3,17 @@
 ``part = pmod(id, P)`` spreads unique ids evenly. Inside a partition, rows are numbered by id with a distributed
 rank (range slices + per-slice offsets, see ``rank_within``), never a window holding a whole partition, and cut
 into batches of B; the last batch of a partition may be short. A reproducible shuffle orders by
-``xxhash64(id, seed, epoch)`` instead of by id.
+``shuffle_key(id, seed, epoch)``, an integer hash, instead of by id.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-_PERSISTED: list = []
-MAX_BROADCAST_ROWS = 2_000_000  # rows of a side table we allow to broadcast after counting it
-
-
-def release() -> None:
-    """Unpersist the intermediate rank tables once the tables built from them are materialised."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+from tablegrad.session import scratch_path
 
 
 def assign_partition(df: DataFrame, id_col: str, num_partitions: int, part: str = "part") -> DataFrame:
@@ -33,7 +26,7 @@ def rank_within(df: DataFrame, part: str, order_cols, num_slices: int | None = N
     Rows are range-partitioned on ``(part, order)`` into ``num_slices`` slices (sampling picks the bounds, so a
     part holding a third of all rows is still cut into many slices). An Arrow kernel numbers rows inside each
     slice; per-(slice, part) counts -- a table of about ``num_slices + parts`` rows, so its size is bounded by the
-    parameters, not the data -- give each slice's offset, broadcast back. Identical keys land in one slice.
+    parameters, not the data -- give each slice's offset. Identical keys land in one slice.
     """
     import numpy as np
     import pyarrow as pa
@@ -67,22 +60,31 @@ def rank_within(df: DataFrame, part: str, order_cols, num_slices: int | None = N
                 list(batch.columns) + [pa.array(np.full(m, sid, dtype=np.int32)), pa.array(local.astype(np.int64))],
                 names=[f.name for f in fields] + ["_slice", "_local"])
 
-    ranked = ranged.mapInArrow(kernel, schema).persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(ranked)
-    counts = ranked.groupBy("_slice", part).agg((F.max("_local") + 1).alias("_cnt")).persist()
-    _PERSISTED.append(counts)
+    # The slices are read twice (offsets, rows) and sampled bounds may differ between runs of a plan, so they are a
+    # table in the shared folder: no cache to release, and a lost executor costs nothing.
+    path = scratch_path(spark, f"ranked-{uuid.uuid4().hex}")
+    ranged.mapInArrow(kernel, schema).write.parquet(path)
+    ranked = spark.read.schema(schema).parquet(path)
+    counts = ranked.groupBy("_slice", part).agg((F.max("_local") + 1).alias("_cnt"))
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.partitionBy(part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     offsets = offsets.select("_slice", part, "_off")
-    # about slices + parts rows; counted before it is broadcast (``part`` may be any caller column)
-    small = counts.count() <= MAX_BROADCAST_ROWS
-    ranked_out = (ranked.join(F.broadcast(offsets) if small else offsets, ["_slice", part])
+    ranked_out = (ranked.join(offsets, ["_slice", part])
                   .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
                   .drop("_slice", "_local", "_off"))
     ranked_out._tablegrad_counts = counts
     return ranked_out
 
 
+def shuffle_key(ids, seed: int, epoch: int):
+    """A reproducible order: integer ids by modular arithmetic that any engine repeats."""
+    m, x = 2147483647, F.lit((seed * 1000003 + epoch) % 2147483647).cast("bigint")
+    for c in ids:
+        x = ((x + F.pmod(F.col(c).cast("bigint"), F.lit(m)) + 1) * 48271) % m
+        x = (x * 69621 + 12345) % m
+    return x
+
+
 def assign_batches(df: DataFrame, id_col, num_partitions: int, batch_size: int, shuffle_seed: int | None = None,
                    epoch: int = 0, part: str = "part", num_slices: int | None = None) -> DataFrame:
     """Adds ``part``, ``batch_id``, ``bsize`` (rows in this batch), ``nbatches`` (batches in this part) and
@@ -91,7 +93,7 @@ def assign_batches(df: DataFrame, id_col, num_partitions: int, batch_size: int,
     if part not in df.columns:
         df = assign_partition(df, ids[0], num_partitions, part)
     if shuffle_seed is not None:
-        df = df.withColumn("_shuffle", F.xxhash64(*[F.col(c) for c in ids], F.lit(shuffle_seed), F.lit(epoch)))
+        df = df.withColumn("_shuffle", shuffle_key(ids, shuffle_seed, epoch))
         order = ["_shuffle", *ids]
     else:
         order = ids
@@ -99,11 +101,9 @@ def assign_batches(df: DataFrame, id_col, num_partitions: int, batch_size: int,
     # rows per part from the small per-(slice, part) count table, not from another pass over the data
     counts = ranked._tablegrad_counts
     sizes = counts.groupBy(part).agg(F.sum("_cnt").alias("_n"))
-    small = counts.count() <= MAX_BROADCAST_ROWS
-    out = ranked.join(F.broadcast(sizes) if small else sizes, part).withColumn(
-        "batch_id", F.floor(F.col("row_in_part") / batch_size).cast("int"))
+    out = ranked.join(sizes, part).withColumn("batch_id", F.floor(F.col("row_in_part") / batch_size).cast("bigint"))
     full = F.floor(F.col("_n") / batch_size)
-    out = (out.withColumn("nbatches", F.ceil(F.col("_n") / batch_size).cast("int"))
+    out = (out.withColumn("nbatches", F.ceil(F.col("_n") / batch_size).cast("bigint"))
            .withColumn("bsize", F.when(F.col("batch_id") < full, F.lit(batch_size))
                        .otherwise(F.col("_n") - full * batch_size).cast("int"))
            .drop("_n"))

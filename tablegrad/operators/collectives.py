@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablegrad.operators.layout import checked
+
 
 def _cells(df: DataFrame) -> DataFrame:
     return df.select("job", "rank", F.posexplode("vec").alias("pos", "x"))
@@ -17,7 +19,8 @@ def _cells(df: DataFrame) -> DataFrame:
 def broadcast_from(df: DataFrame, root: int = 0) -> DataFrame:
     """Every rank receives the root's vector (equi-join on job)."""
     src = df.where(F.col("rank") == root).select("job", F.col("vec").alias("_root"))
-    return df.select("job", "rank").join(src, "job").select("job", "rank", F.col("_root").alias("vec"))
+    j = df.select("job", "rank").join(src, "job", "left")
+    return j.select("job", "rank", checked(F.col("_root"), F.col("_root").isNotNull(), "broadcast: a job has no root").alias("vec"))
 
 
 def all_reduce(df: DataFrame) -> DataFrame:
@@ -31,7 +34,7 @@ def gather(df: DataFrame, root: int = 0, width: int = 1) -> DataFrame:
 
     Other ranks receive an empty vector, i.e. no cells. ``width`` is the per-rank vector length.
     """
-    c = _cells(df)
+    c = _cells(df.withColumn("vec", checked(F.col("vec"), F.size("vec") == width, "gather: ranks of unequal width")))
     return c.select("job", F.lit(root).cast("int").alias("rank"),
                     (F.col("rank") * F.lit(width) + F.col("pos")).cast("int").alias("pos"), "x")
 

@@ -2,8 +2,8 @@
 
 Same-shape operands in one row are zipped (no shuffle). Broadcasting:
 
-* row broadcast ``[m, n] op [n]`` -- the vector is bounded by the row width, so it is held as a literal array
-  (its size is checked before it is inlined); every task applies it map-side.
+* row broadcast ``[m, n] op [n]`` -- the vector is as wide as a row, held as a literal array; every task applies it
+  map-side, and another width fails the job.
 * column broadcast ``[m, n] op [m]`` -- the vector is as long as the table, so it is an equi-join on the row id.
 * scalar -- a literal or a one-value column.
 """
@@ -17,9 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegrad.functions.columns import arr_binary, arr_scalar, arr_unary, col, lit_array
-
-MAX_INLINE_VECTOR = 1 << 20  # elements; a row-broadcast vector beyond this is joined instead of inlined
-
+from tablegrad.operators.layout import checked
 
 def ew_binary(a, b, op: str) -> Column:
     """Same-shape elementwise op of two array columns; size mismatch fails the job."""
@@ -41,36 +39,24 @@ def ew_unary(a, op: str, p: float | None = None) -> Column:
 
 def row_broadcast(a, vector: Sequence[float] | np.ndarray, op: str) -> Column:
     """``[m, n] op [n]``: combine every row with one bounded vector."""
-    v = np.asarray(vector, dtype=np.float64).ravel()
-    if v.size > MAX_INLINE_VECTOR:
-        raise ValueError("row_broadcast: vector too large to inline; use cells + join")
-    return ew_binary(a, lit_array(v), op)
-
-
-def vector_from_df(df: DataFrame, pos: str = "pos", v: str = "v", max_size: int = MAX_INLINE_VECTOR) -> np.ndarray:
-    """Collect a 1-D cell table after checking its size bound (the only driver pull, and a bounded one)."""
-    n = df.count()
-    if n > max_size:
-        raise ValueError(f"vector of {n} elements exceeds the inline bound {max_size}")
-    rows = df.select(pos, v).collect()
-    out = np.zeros(n, dtype=np.float64)
-    for r in rows:
-        out[int(r[0])] = float(r[1])
-    return out
+    return ew_binary(a, lit_array(np.asarray(vector, dtype=np.float64).ravel()), op)
 
 
 def col_broadcast(rows: DataFrame, colvec: DataFrame, op: str, id_col: str = "row_id", vec_col: str = "vec",
                   c_col: str = "c", out_col: str = "out") -> DataFrame:
     """``[m, n] op [m]``: per-row scalar from a second table, equi-joined on the row id."""
-    j = rows.join(colvec.select(id_col, c_col), id_col, "inner")
-    return j.withColumn(out_col, arr_scalar(op, vec_col, F.col(c_col))).drop(c_col)
+    j = rows.join(colvec.select(id_col, F.col(c_col).alias("_c"), F.lit(True).alias("_there")), id_col, "left")
+    c = checked(F.col("_c"), F.col("_there"), f"{op}: the column vector has no entry for a row")
+    return j.withColumn(out_col, arr_scalar(op, vec_col, c)).drop("_c", "_there")
 
 
 def cells_binary(a: DataFrame, b: DataFrame, keys: Sequence[str], op: str, v: str = "v") -> DataFrame:
     """Elementwise op of two cell tables matched on their index keys (sort-merge or broadcast, by size)."""
     fn = {"add": lambda x, y: x + y, "sub": lambda x, y: x - y, "mul": lambda x, y: x * y}[op]
-    return (a.select(*keys, F.col(v).alias("_a")).join(b.select(*keys, F.col(v).alias("_b")), list(keys), "inner")
-            .select(*keys, fn(F.col("_a"), F.col("_b")).alias(v)))
+    j = a.select(*keys, F.col(v).alias("_a"), F.lit(True).alias("_l")).join(
+        b.select(*keys, F.col(v).alias("_b"), F.lit(True).alias("_r")), list(keys), "full_outer")
+    both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
+    return j.select(*keys, checked(fn(F.col("_a"), F.col("_b")), both, f"{op}: shapes differ").alias(v))
 
 
 def fill_like(a, value: float) -> Column:

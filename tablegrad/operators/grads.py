@@ -46,11 +46,18 @@ def grad_mul(a, b, g):
 
 def grad_mul_scalar(rows: DataFrame, a: str, g: str, s: float):
     """``A * s`` with scalar s: dA = s*G per row; ds = sum(A*G) over every element."""
-    da = arr_scalar("mul", a, s)
+    da = arr_scalar("mul", g, s)
     ds = rows.agg(F.coalesce(F.sum(arr_dot(a, g)), F.lit(0.0)).alias("ds"))
     return da, ds
 
 
+def grad_mul_row(rows: DataFrame, a: str, g: str, vector: np.ndarray):
+    """``A * b`` with a row vector b: dA = b*G per row; db = column sums of A*G as cells (j, grad)."""
+    da = arr_binary("mul", g, lit_array(np.asarray(vector, dtype=np.float64)))
+    prod = rows.select(arr_binary("mul", a, g).alias("vec"))
+    return da, reduce.sum_axis0(prod, out="grad")
+
+
 def grad_softmax(y, g) -> Column:
     """Softmax backward along the last axis in O(n): y * (g - sum(g*y))."""
     def body(yv, gv):

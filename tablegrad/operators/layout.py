@@ -112,58 +112,40 @@ def inverse_axes(axes: Sequence[int]) -> list[int]:
     return inv
 
 
-def transpose_matrix(cells: DataFrame, i: str = "i", j: str = "j") -> DataFrame:
-    """2-D transpose in (i, j, v) layout: a rename."""
-    return cells.select(F.col(j).alias(i), F.col(i).alias(j), *[c for c in cells.columns if c not in (i, j)])
+def checked(value: Column, condition: Column, message: str) -> Column:
+    """``value``, failing the job where ``condition`` doesn't hold. The check is part of the value, so it isn't pruned."""
+    return F.when(F.assert_true(F.coalesce(condition, F.lit(False)), F.lit(message)).isNull(), value)
 
 
-def stack_rows(dfs: Sequence[DataFrame], rows_each: int, id_col: str = "row_id",
+def stack_rows(dfs: Sequence[DataFrame], rows_each: int, width: int, id_col: str = "row_id",
                vec_col: str = "vec") -> DataFrame:
-    """Stack K equally shaped R-layout tensors (dense row ids 0..m-1) along a new leading axis.
+    """Stack K tensors of shape [rows_each, width] (row ids 0..rows_each-1) along a new leading axis.
 
-    Output row ``k * m + row_id`` keeps the source rank ``k``; no global ordering is needed.
+    Output row ``k * m + row_id`` keeps the source rank ``k``; no global ordering is needed. A row of another width or
+    with an id outside the shape fails the job.
     """
     if not dfs:
         raise ValueError("stack: empty list")
     u = None
     for k, d in enumerate(dfs):
+        inside = (col(id_col) >= 0) & (col(id_col) < rows_each)
         p = d.select(F.lit(k).cast("int").alias("rank"),
-                     (F.lit(k * rows_each).cast("bigint") + col(id_col)).alias(id_col), col(vec_col).alias(vec_col))
-        u = p if u is None else u.unionByName(p)
-    return u
-
-
-def check_uniform_size(df: DataFrame, vec_col: str = "vec") -> DataFrame:
-    """Fail when rows differ in array size; returns one row (n_rows, size)."""
-    return (df.agg(F.count("*").alias("n_rows"), F.min(F.size(vec_col)).alias("lo"),
-                   F.max(F.size(vec_col)).alias("hi"))
-            .select(F.col("n_rows"),
-                    F.when(F.assert_true(F.col("lo") == F.col("hi"), F.lit("stack: shapes differ")).isNull(),
-                           F.col("lo")).alias("size")))
-
-
-def stack_cells(dfs: Sequence[DataFrame], size: int, pos: str = "pos", v: str = "v") -> DataFrame:
-    """Stack tensors of ``size`` cells each in C layout: ``pos = rank * size + pos``."""
-    if not dfs:
-        raise ValueError("stack: empty list")
-    u = None
-    for k, d in enumerate(dfs):
-        p = d.select((F.lit(k * size).cast("bigint") + F.col(pos)).alias(pos), F.col(v))
+                     checked(F.lit(k * rows_each).cast("bigint") + col(id_col), inside, "stack: row id outside the shape").alias(id_col),
+                     checked(col(vec_col), F.size(vec_col) == width, "stack: shapes differ").alias(vec_col))
         u = p if u is None else u.unionByName(p)
     return u
 
 
 def take_rows(rows: DataFrame, index: DataFrame, id_col: str = "row_id", out_col: str = "out_row",
-              src_col: str = "src_row", max_broadcast_rows: int = 5_000_000) -> DataFrame:
+              src_col: str = "src_row") -> DataFrame:
     """Gather rows by an index table ``(out_row, src_row)``; duplicates and order are kept.
 
-    The index side is broadcast only when its row count is under ``max_broadcast_rows``; otherwise a shuffled
-    equi-join handles it.
+    An index without a row fails the job. The join strategy is left to the optimizer.
     """
-    n_idx = index.count()
-    idx = F.broadcast(index) if n_idx <= max_broadcast_rows else index
-    return (rows.join(idx, rows[id_col] == idx[src_col], "inner")
-            .drop(id_col).withColumnRenamed(out_col, id_col))
+    idx = index.select(F.col(out_col).alias("_out"), F.col(src_col).alias("_src"))
+    j = idx.join(rows, F.col("_src") == rows[id_col], "left")
+    out = checked(F.col("_out"), F.col(id_col).isNotNull(), "take_rows: index out of range")
+    return j.select(out.alias(id_col), *[c for c in rows.columns if c != id_col])
 
 
 def shape_check(df: DataFrame, vec_col: str, expected: int, key_cols: Sequence[str]) -> DataFrame:

@@ -1,9 +1,10 @@
 """Matrix products with a size-driven strategy.
 
-(a) ``rows_times_small``: a tall row-layout matrix times a small matrix. The small side is a parameter-sized
-    numpy array (its size is checked against ``MAX_INLINE_PARAMS``); every task multiplies map-side, either with
-    array expressions (``method='expr'``, JVM only) or numpy over Arrow batches (``method='arrow'``).
-(b) ``cells_matmul``: both sides large, in ``(i, k, v)`` / ``(k, j, v)`` cells: equi-join on k + group by (i, j).
+(a) ``rows_times_small``: a tall row-layout matrix times a parameter matrix that the driver holds; one broadcast, numpy
+    over Arrow batches in every task (``method='expr'`` spells it as JVM array expressions instead).
+(b) ``cells_matmul``: both sides in cells; (``blocks_matmul``) both sides cut into square blocks, joined by block of the
+    contraction axis and multiplied by numpy, so one key carries a block's work, not a whole row of products.
+    Unequal contraction sizes fail the job.
 (c) ``outer_sum`` (``Aᵀ·B`` where the contraction axis is the sample axis): per-task partial products reduced by a
     two-level sum; the shuffle carries k·n values per task, independent of the row count.
 """
@@ -18,33 +19,18 @@ from pyspark.sql import types as T
 
 from tablegrad.functions.arrow import column, list_to_matrix, matrix_to_list
 from tablegrad.functions.columns import arr_dot, col, size_guard, vec_matmul
+from tablegrad.operators.layout import checked
 
-MAX_INLINE_PARAMS = 1 << 22  # 4M doubles = 32 MB: largest right-hand side shipped to every task
-EXPR_LIMIT = 4096            # above this many weights the numpy kernel beats array expressions
 
 
-def matrix_from_cells(cells: DataFrame, shape: tuple[int, int], i: str = "i", j: str = "j", v: str = "v",
-                      max_cells: int = MAX_INLINE_PARAMS) -> np.ndarray:
-    """Pull a small matrix to the driver, after proving its size bound from the declared shape."""
-    if shape[0] * shape[1] > max_cells:
-        raise ValueError(f"matrix {shape} exceeds the inline bound {max_cells}")
-    out = np.zeros(shape, dtype=np.float64)
-    for r in cells.select(i, j, v).collect():
-        out[int(r[0]), int(r[1])] = float(r[2])
-    return out
-
 
 def rows_times_small(rows: DataFrame, w: np.ndarray, b: np.ndarray | None = None, vec_col: str = "vec",
-                     out_col: str = "out", method: str = "auto", keep=None) -> DataFrame:
+                     out_col: str = "out", method: str = "arrow", keep=None) -> DataFrame:
     """``[m, k] · [k, n] (+ b)`` with the right side held by every task. Returns ``keep + [out_col]``."""
     w = np.asarray(w, dtype=np.float64)
     if w.ndim == 1:
         w = w.reshape(-1, 1)
-    if w.size > MAX_INLINE_PARAMS:
-        raise ValueError("rows_times_small: right side too large; use cells_matmul")
     keep = [c for c in rows.columns if c != vec_col] if keep is None else list(keep)
-    if method == "auto":
-        method = "expr" if w.size <= EXPR_LIMIT else "arrow"
     if method == "expr":
         return rows.select(*keep, vec_matmul(size_guard(vec_col, w.shape[0], "matmul"), w, b).alias(out_col))
     return _arrow_matmul(rows.select(*keep, vec_col), w, b, vec_col, out_col, keep)
@@ -78,30 +64,74 @@ def matvec(a, v: np.ndarray):
 
 def cells_matmul(a: DataFrame, b: DataFrame, a_keys=("i", "k"), b_keys=("k", "j"), v: str = "v",
                  out: str = "v") -> DataFrame:
-    """General ``A · B`` over cell tables: join on the contraction index, sum products per output cell.
+    """General ``A · B`` over dense cell tables: join on the contraction index, sum products per output cell.
 
-    Catalyst picks broadcast hash join when one side is under the broadcast threshold and sort-merge otherwise;
-    the partial aggregate after the join collapses products before the final shuffle.
+    An index that only one side has means that the shapes don't fit, and fails the job. The partial aggregate after
+    the join collapses products before the final shuffle.
     """
     ai, ak = a_keys
     bk, bj = b_keys
     left = a.select(F.col(ai).alias("_i"), F.col(ak).alias("_k"), F.col(v).alias("_a"))
     right = b.select(F.col(bk).alias("_k"), F.col(bj).alias("_j"), F.col(v).alias("_b"))
-    return (left.join(right, "_k").groupBy("_i", "_j").agg(F.sum(F.col("_a") * F.col("_b")).alias(out))
+    product = _product(F.col("_i").isNotNull() & F.col("_j").isNotNull())
+    return (left.join(right, "_k", "full_outer").groupBy("_i", "_j").agg(F.sum(product).alias(out))
             .withColumnRenamed("_i", ai).withColumnRenamed("_j", bj))
 
 
+def _product(there):
+    return checked(F.col("_a") * F.col("_b"), there, "matmul: contraction sizes differ")
+
+
+def to_blocks(cells: DataFrame, size: int, i: str = "i", j: str = "j", v: str = "v") -> DataFrame:
+    """Cells as square blocks ``(bi, bj, cells)``; a block has at most ``size * size`` cells."""
+    at = F.struct((F.col(i) % size).cast("int").alias("r"), (F.col(j) % size).cast("int").alias("c"), F.col(v).alias("v"))
+    return cells.select(F.floor(F.col(i) / size).alias("bi"), F.floor(F.col(j) / size).alias("bj"), at.alias("x")).groupBy("bi", "bj").agg(
+        F.collect_list("x").alias("cells"))
+
+
+def blocks_matmul(a: DataFrame, b: DataFrame, size: int = 256) -> DataFrame:
+    """``A · B`` of cell tables ``(i, j, v)``, block by block -> ``(i, j, v)``.
+
+    Blocks meet by the block of the contraction axis; each pair is one numpy product, and the partial products of an
+    output block are summed by cell with map-side combination. Contraction indices that only one side has fail the job.
+    """
+    left = to_blocks(a, size).select(F.col("bi"), F.col("bj").alias("bk"), F.col("cells").alias("x"))
+    right = to_blocks(b, size).select(F.col("bi").alias("bk"), F.col("bj"), F.col("cells").alias("y"))
+
+    def kernel(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                one = batch.slice(r, 1).to_pylist()[0]
+                if one["x"] is None or one["y"] is None:
+                    raise ValueError("matmul: contraction sizes differ")
+                m, n = np.zeros((size, size)), np.zeros((size, size))
+                held = [np.array([(c["r"], c["c"]) for c in one[k]], dtype=np.int64) for k in ("x", "y")]
+                for dense, at, k in ((m, held[0], "x"), (n, held[1], "y")):
+                    dense[at[:, 0], at[:, 1]] = [c["v"] for c in one[k]]
+                if set(held[0][:, 1].tolist()) != set(held[1][:, 0].tolist()):
+                    raise ValueError("matmul: contraction sizes differ")
+                rows, cols = np.unique(held[0][:, 0]), np.unique(held[1][:, 1])
+                ii, jj = np.meshgrid(rows, cols, indexing="ij")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one["bi"] * size + ii.ravel()), pa.array(one["bj"] * size + jj.ravel()), pa.array((m @ n)[ii.ravel(), jj.ravel()])],
+                    names=["i", "j", "v"])
+
+    pairs = left.join(right, "bk", "full_outer").select("bi", "bj", "x", "y")
+    return pairs.mapInArrow(kernel, "i bigint, j bigint, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+
+
 def vec_mat(vec: DataFrame, m: DataFrame, k: str = "k", j: str = "j", x: str = "x", v: str = "v",
             out: str = "v") -> DataFrame:
-    """``[k] · [k, n] -> [n]``: join on k, sum by j."""
-    return (vec.select(k, F.col(x).alias("_x")).join(m.select(k, j, F.col(v).alias("_m")), k)
-            .groupBy(j).agg(F.sum(F.col("_x") * F.col("_m")).alias(out)))
+    """``[k] · [k, n] -> [n]``: join on k, sum by j; unequal sizes fail the job."""
+    both = vec.select(k, F.col(x).alias("_a")).join(m.select(k, j, F.col(v).alias("_b")), k, "full_outer")
+    product = _product(F.col("_a").isNotNull() & F.col(j).isNotNull())
+    return both.groupBy(j).agg(F.sum(product).alias(out))
 
 
 def dot(a: DataFrame, b: DataFrame, k: str = "k", x: str = "x", y: str = "y", out: str = "dot") -> DataFrame:
-    """``[k] · [k] -> scalar``."""
-    return (a.select(k, F.col(x).alias("_x")).join(b.select(k, F.col(y).alias("_y")), k)
-            .agg(F.coalesce(F.sum(F.col("_x") * F.col("_y")), F.lit(0.0)).alias(out)))
+    """``[k] · [k] -> scalar``; unequal sizes fail the job."""
+    both = a.select(k, F.col(x).alias("_a")).join(b.select(k, F.col(y).alias("_b")), k, "full_outer")
+    return both.agg(F.coalesce(F.sum(_product(F.col("_a").isNotNull() & F.col("_b").isNotNull())), F.lit(0.0)).alias(out))
 
 
 def outer_sum(rows: DataFrame, a_col: str, b_col: str, method: str = "auto", width_a: int | None = None,

@@ -50,11 +50,11 @@ def adam_step(params: DataFrame, grads: DataFrame, t: int, lr: float = 0.001, be
 def clip_by_norm(grads: DataFrame, max_norm: float, key: str = "param_id", g: str = "grad") -> DataFrame:
     """Per parameter tensor: rescale by max_norm / ||g|| when the L2 norm exceeds max_norm.
 
-    The norms are one row per parameter tensor (bounded by the model), broadcast back.
+    The norms are one row per parameter tensor, joined back.
     """
     norms = grads.groupBy(key).agg(F.sqrt(F.sum(F.col(g) * F.col(g))).alias("_norm"))
     scale = F.when(F.col("_norm") > F.lit(max_norm), F.lit(max_norm) / F.col("_norm")).otherwise(F.lit(1.0))
-    return (grads.join(F.broadcast(norms), key)
+    return (grads.join(norms, key)
             .withColumn(g, F.col(g) * scale).drop("_norm"))
 
 
@@ -67,6 +67,8 @@ def iterate_table_steps(params: DataFrame, grad_fn, steps: int, optimizer: str =
     ``checkpoint()`` to the shared ``spark.checkpoint.dir`` (reliable storage: a lost executor does not lose it).
     """
     from tablegrad.session import ensure_checkpoint_dir
+    if optimizer not in ("sgd", "adam"):
+        raise ValueError(f"unknown optimizer {optimizer}")
     ensure_checkpoint_dir(params.sparkSession)
     p = params
     for t in range(1, steps + 1):

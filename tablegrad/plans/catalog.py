@@ -94,7 +94,7 @@ SOFTMAX_LOGITS_SQL = LOGITS_SQL + [
 
 def emb_logits(spark, d) -> DataFrame:
     return D.emb_rows(spark, d).select(
-        "row_id", "label", C.vec_matmul("vec", D.formula_w(64, 10), D.formula_b(10)).alias("logits"))
+        "row_id", "label", "vec", C.vec_matmul("vec", D.formula_w(64, 10), D.formula_b(10)).alias("logits"))
 
 
 @register("loss_cross_entropy", S.with_(*SOFTMAX_LOGITS_SQL)
@@ -266,7 +266,7 @@ def q_fill_like(spark, d):
     return _li_ew(spark, d, elementwise.fill_like("vec", 0.5))
 
 
-from tablegrad.plans import catalog_io, catalog_train  # noqa: E402,F401  (register the remaining queries)
+from tablegrad.plans import catalog_io, catalog_more, catalog_train  # noqa: E402,F401  (register the remaining queries)
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:

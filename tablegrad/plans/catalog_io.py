@@ -77,7 +77,7 @@ def q_grad_permute(spark, d):
 def q_stack_rows(spark, d):
     rows = D.emb_rows(spark, d).select("row_id", "vec")
     n = rows.count()
-    st = layout.stack_rows([rows, rows.select("row_id", C.arr_scalar("mul", "vec", 2.0).alias("vec"))], n)
+    st = layout.stack_rows([rows, rows.select("row_id", C.arr_scalar("mul", "vec", 2.0).alias("vec"))], n, D.EMB_DIM)
     return cells(st, ["rank", "row_id"], "vec")
 
 
@@ -95,9 +95,9 @@ def q_take_rows(spark, d):
 @register("shape_check", "SELECT o_custkey, CAST(count(*) AS INTEGER) AS actual, 10 AS expected FROM orders "
           "GROUP BY o_custkey HAVING count(*) <> 10")
 def q_shape_check(spark, d):
-    """Each customer's order-price vector must have 10 entries; report the rest (sizes by count, no collect)."""
-    sizes = D.table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").cast("int").alias("actual"))
-    return sizes.where(F.col("actual") != 10).select("o_custkey", "actual", F.lit(10).alias("expected"))
+    """Each customer's order-price vector must have 10 entries; report the rest (a vector per customer)."""
+    prices = D.table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_list("o_totalprice").alias("vec"))
+    return layout.shape_check(prices, "vec", 10, ["o_custkey"])
 
 
 @register("int_to_tensor", "WITH c AS (SELECT l_orderkey, l_linenumber, "
@@ -110,12 +110,19 @@ def q_int_to_tensor(spark, d):
     return cells(li.select(*LI_KEYS, elementwise.int_to_tensor("ints", 2).alias("t")), LI_KEYS, "t")
 
 
-@register("rand_tensor")
+def _rand_sql() -> str:
+    m = 2147483647
+    u = [f"((((({100 + k} + l_orderkey + 1) * 48271) % {m} * 69621 + 12345) % {m} + l_linenumber + 1) * 48271 % {m} * 69621 + 12345) % {m}"
+         for k in range(4)]
+    return ("WITH u AS (SELECT l_orderkey, l_linenumber, unnest([" + ", ".join(f"(({x}) % 1000003) / 1000003.0" for x in u)
+            + f"]) AS v, unnest(range(0, 4)) AS j FROM lineitem) SELECT l_orderkey, l_linenumber, CAST(j AS INTEGER) AS j, {S.r('v')} AS v FROM u")
+
+
+@register("rand_tensor", _rand_sql())
 def q_rand_tensor(spark, d):
-    """Uniform [0, 1) tensor shaped like the lineitem feature rows (seeded; rows-only check)."""
-    li = D.li_rows(spark, d)
-    return li.select(*LI_KEYS, F.array(*[F.rand(100 + k) for k in range(4)]).alias("r")).select(
-        *LI_KEYS, F.posexplode("r").alias("j", "v"))
+    """Uniform [0, 1) tensor shaped like the lineitem feature rows: hashed from the row keys, so it is reproducible."""
+    r = F.array(*[nn.hashed_uniform(100 + k, *LI_KEYS) for k in range(4)])
+    return cells(D.li_rows(spark, d).select(*LI_KEYS, r.alias("r")), LI_KEYS, "r")
 
 
 # ================================================================ batch norm
@@ -143,11 +150,9 @@ def q_batchnorm_train(spark, d):
     rows = li.select(*LI_KEYS, D.li_vec().alias("vec"), F.struct(*BN_ORDER).alias("ord"),
                      F.pmod("l_orderkey", F.lit(4)).cast("int").alias("part"))
     b = batching.assign_batches(rows, "ord", 4, 256)
-    # co-locate each batch once; the per-(batch, feature) statistics and the join back then need no shuffle
-    b = b.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part", "batch_id")
-    c = b.select(*LI_KEYS, "part", "batch_id", F.posexplode("vec").alias("j", "x"))
-    out = nn.batchnorm_train_cells(c, ["part", "batch_id"], BN_GAMMA, BN_BETA)
-    return out.select(*LI_KEYS, "j", C.tidy("y").alias("y"))
+    # one shuffle brings each batch whole into a task; a kernel normalises batch by batch, cells are exploded last
+    out = nn.batchnorm_train_rows(b.select(*LI_KEYS, "part", "batch_id", "vec"), ["part", "batch_id"], BN_GAMMA, BN_BETA)
+    return cells(out, LI_KEYS, "y", v="y")
 
 
 @register("batchnorm_eval", S.with_(S.LI, S.LIC, "st AS (SELECT j, avg(x) AS mu, var_pop(x) AS var FROM lic GROUP BY j)")
@@ -155,13 +160,10 @@ def q_batchnorm_train(spark, d):
           + S.r("(x - mu) / sqrt(var + 1e-5) * (1.0 + j / 4.0) + (j - 1.0) / 10.0") + " AS y FROM lic JOIN st USING (j)")
 def q_batchnorm_eval(spark, d):
     """Evaluation mode with running statistics taken from the data (per-feature mean / biased variance)."""
-    rows = D.li_rows(spark, d)
-    st = reduce.column_stats(rows).collect()  # one row per feature: bounded by the width
-    n = {int(r["j"]): r for r in st}
-    mean = np.array([n[j]["s"] / n[j]["n"] for j in range(4)])
-    var = np.array([n[j]["ss"] / n[j]["n"] for j in range(4)]) - mean ** 2
-    out = rows.select(*LI_KEYS, nn.batchnorm_eval("vec", mean, var, BN_GAMMA, BN_BETA).alias("y"))
-    return cells(out, LI_KEYS, "y", v="y")
+    x = D.li_rows(spark, d).select(*LI_KEYS, F.posexplode("vec").alias("j", "x"))
+    buffers = x.groupBy("j").agg(F.avg("x").alias("running_mean"), F.var_pop("x").alias("running_var"))
+    out = nn.batchnorm_eval_cells(x, buffers, BN_GAMMA, BN_BETA)
+    return out.select(*LI_KEYS, "j", C.tidy("y").alias("y"))
 
 
 @register("running_stats", S.with_(

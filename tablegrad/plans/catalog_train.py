@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,10 +52,9 @@ def grad_table(pk: DataFrame, layers) -> DataFrame:
     return TR.gradient_cells(pk, layers).select("param_id", "name", "pos", C.tidy("grad", GRAD_DIGITS).alias("grad"))
 
 
-def _packets(spark, d, layers, params, samples, cfg) -> DataFrame:
-    s = TR.prepare_samples(samples, "row_id", "features", "target", cfg, TR.has_batch_norm(layers))
-    n = s.count()
-    return TR.packets(s, layers, params, cfg, n)
+def _packets(spark, d, layers, params, samples, cfg, batched: bool = False) -> DataFrame:
+    s = TR.prepare_samples(samples, "row_id", "features", "target", cfg, TR.has_batch_norm(layers), batched)
+    return TR.packets(s, layers, params, cfg)
 
 
 # ---------------------------------------------------------------- SQL: relational back-propagation
@@ -112,12 +112,9 @@ LIN_GRAD_CTES = SOFTMAX_LOGITS_SQL + [
 
 def linear_ce_grad_cells(spark, d) -> DataFrame:
     """Relational gradient of the 64->10 softmax cross entropy at the formula parameters (layout P cells)."""
-    rows = emb_logits(spark, d).join(D.emb_rows(spark, d).select("row_id", "vec"), "row_id")
-    n = rows.count()
-    rows = rows.select("vec", grads.grad_cross_entropy_logits(C.arr_softmax("logits"),
-                                                             C.one_hot("label", D.N_CLASSES),
-                                                             1.0 / (n * D.N_CLASSES)).alias("dz"))
-    return grads.linear_param_grads(rows, "vec", "dz", D.formula_w(64, 10))
+    rows = emb_logits(spark, d).select("vec", grads.grad_cross_entropy_logits(
+        C.arr_softmax("logits"), C.one_hot("label", D.N_CLASSES), 1.0 / D.N_CLASSES).alias("dz"))
+    return grads.linear_param_grads(rows, "vec", "dz", D.formula_w(64, 10), mean=True)
 
 
 def lin_param_table(spark) -> DataFrame:
@@ -218,7 +215,7 @@ def _partition_loss_sql() -> str:
 @register("partition_loss", _partition_loss_sql())
 def q_partition_loss(spark, d):
     cfg = TR.TrainConfig(loss="cross_entropy", batch_size=32, num_partitions=4)
-    pk = _packets(spark, d, LIN_LAYERS, lin_params(), emb_samples(spark, d), cfg)
+    pk = _packets(spark, d, LIN_LAYERS, lin_params(), emb_samples(spark, d), cfg, batched=True)
     return TR.partition_losses(pk, D.N_CLASSES).select("part", "batches", "n",
                                                        C.tidy("avg_batch_loss").alias("avg_batch_loss"))
 
@@ -239,14 +236,22 @@ def q_sample_count(spark, d):
     return emb_samples(spark, d).agg(F.count("*").alias("n"))
 
 
+def _input_sum_loss(out, target):
+    """Row loss sum(out * target): its gradient by the output is the target."""
+    return (out * target).sum(axis=1), target
+
+
 @register("grad_tree_sum", S.with_(S.EMB) + f"SELECT j AS pos, {S.r('sum(x)')} AS total FROM emb GROUP BY j")
 def q_grad_tree_sum(spark, d):
-    """Per-partition packets (column sums of each part's rows) reduced by the two-level bucketed sum."""
-    rows = batching.assign_partition(D.emb_rows(spark, d), "row_id", 16)
-    packets = (rows.select("part", F.posexplode("vec").alias("pos", "x")).groupBy("part", "pos")
-               .agg(F.sum("x").alias("g")))
-    lvl1 = packets.groupBy((F.col("part") % 4).alias("bucket"), "pos").agg(F.sum("g").alias("g"))
-    return lvl1.groupBy("pos").agg(C.tidy(F.sum("g")).alias("total"))
+    """Packets of every task reduced by the training loop's own two-level sum; a loss whose gradient is the input row
+    itself makes the bias gradient the column sums."""
+    cfg = TR.TrainConfig(loss=_input_sum_loss, num_partitions=16)
+    rows = D.emb_rows(spark, d).select("row_id", F.col("vec").alias("features"), F.col("vec").alias("target"))
+    zero = [np.zeros((64, 64)), np.zeros(64)]
+    pk = _packets(spark, d, [nn.Linear(64, 64)], zero, rows, cfg)
+    grad = TR.gradient_cells(pk, [nn.Linear(64, 64)]).where("param_id = 1")
+    n = pk.where("kind = 1").agg(F.sum("n")).scalar()
+    return grad.select("pos", C.tidy(F.col("grad") * n * 64).alias("total"))
 
 
 @register("group_by_partition", "SELECT vec_id AS row_id, CAST(vec_id % 4 AS INTEGER) AS part, "
@@ -279,13 +284,14 @@ def q_minibatch_stack(spark, d):
                      C.tidy(F.aggregate("features", F.lit(0.0), lambda a, x: a + x[0])).alias("feature_sum"))
 
 
-@register("minibatch_shuffle", "SELECT CAST(o_orderkey % 8 AS INTEGER) AS part, count(*) AS n, "
-          "CAST(sum(o_orderkey) AS BIGINT) AS id_sum FROM orders GROUP BY 1")
+@register("minibatch_shuffle", "SELECT id, CAST(id % 8 AS INTEGER) AS part, (row_number() OVER (PARTITION BY id % 8 ORDER BY x, id) - 1) // 64 "
+          "AS batch_id FROM (SELECT o_orderkey AS id, ((((42 * 1000003 + 1) % 2147483647 + o_orderkey % 2147483647 + 1) * 48271) % 2147483647 "
+          "* 69621 + 12345) % 2147483647 AS x FROM orders)")
 def q_minibatch_shuffle(spark, d):
-    """A reproducible shuffled batching; checked as a partition of the ids (every id once per part)."""
+    """A reproducible shuffled batching: the exact batch of every id."""
     b = batching.assign_batches(D.table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), "id", 8, 64,
                                 shuffle_seed=42, epoch=1)
-    return b.groupBy("part").agg(F.count("*").alias("n"), F.sum("id").alias("id_sum"))
+    return b.select("id", "part", "batch_id")
 
 
 @register("num_batches", "SELECT CAST(o_orderkey % 8 AS INTEGER) AS part, count(*) AS n, "
@@ -318,7 +324,7 @@ def q_linear_forward(spark, d):
     + f"SELECT ez.row_id, c AS j, {S.r('e / s')} AS p FROM ez JOIN sz USING (row_id)")
 def q_mlp_forward(spark, d):
     layers = MLP_LAYERS + [nn.Softmax()]
-    out = D.emb_rows(spark, d).select("row_id", nn.forward_expr("vec", layers, mlp_params()).alias("p"))
+    out = nn.forward_rows(D.emb_rows(spark, d), layers, mlp_params(), out_col="p", keep=["row_id"])
     return cells(out, ["row_id"], "p", v="p")
 
 
@@ -330,15 +336,33 @@ def q_mlp_forward(spark, d):
     + f"SELECT z0.row_id, z0.c AS j, {S.r('z0.s + b2.b')} AS v FROM z0 JOIN b2 ON z0.c = b2.j")
 def q_sequential_forward(spark, d):
     layers = [nn.Linear(64, 16), nn.Sigmoid(), nn.Linear(16, 10)]
-    out = D.emb_rows(spark, d).select("row_id", nn.forward_expr("vec", layers, mlp_params()).alias("y"))
+    out = nn.forward_rows(D.emb_rows(spark, d), layers, mlp_params(), out_col="y", keep=["row_id"])
     return cells(out, ["row_id"], "y")
 
 
-@register("init_params")
+def _uniform_sql(seed: int, *keys: str) -> str:
+    x = f"CAST({seed % 2147483647} AS BIGINT)"
+    for k in keys:
+        x = f"((({x} + {k} + 1) * 48271) % 2147483647 * 69621 + 12345) % 2147483647"
+    return f"(({x}) % 1000003) / 1000003.0"
+
+
+def _init_sql() -> str:
+    parts = []
+    for pid, (name, n, fan) in enumerate((("0.weight", "width * 16", "width + 16"), ("0.bias", "16", None),
+                                          ("2.weight", "16 * classes", "16 + classes"), ("2.bias", "classes", None))):
+        u = _uniform_sql(11, str(pid), "pos")
+        value = f"(2 * {u} - 1) * sqrt(6.0 / ({fan}))" if fan else u
+        parts.append(f"SELECT {pid} AS param_id, '{name}' AS name, pos, {S.r(value)} AS value FROM "
+                     f"(SELECT unnest(range(0, {n})) AS pos, width, classes FROM m)")
+    return "WITH m AS (SELECT max(len(embedding)) AS width, max(label) + 1 AS classes FROM embeddings) " + " UNION ALL ".join(parts)
+
+
+@register("init_params", _init_sql())
 def q_init_params(spark, d):
-    """Seeded initialisation of a model sized from the data (input width = embedding width)."""
-    width = len(D.emb_rows(spark, d).select("vec").first()[0])
-    return nn.init_params_table(spark, nn.mlp([width, 16, D.N_CLASSES]), seed=11)
+    """Seeded initialisation of a model sized by the whole table: its widest row and its number of classes."""
+    width, classes = D.emb_rows(spark, d).agg(F.max(F.size("vec")), F.max("label") + 1).first()
+    return nn.init_params_table(spark, nn.mlp([width, 16, classes]), seed=11).withColumn("value", C.tidy("value"))
 
 
 @register("param_summary", S.with_(*LIN_GRAD_CTES) + (
@@ -372,11 +396,11 @@ def q_grad_bias(spark, d):
           + f"SELECT 'dW' AS tensor, CAST(k AS BIGINT) AS i, j, {S.r('g', GRAD_DIGITS)} AS grad FROM dw UNION ALL "
           f"SELECT 'dX', row_id, k, {S.r('g', GRAD_DIGITS)} FROM dx")
 def q_grad_matmul(spark, d):
-    rows = emb_logits(spark, d).join(D.emb_rows(spark, d).select("row_id", "vec"), "row_id")
-    n = rows.count()
-    rows = rows.select("row_id", "vec", grads.grad_cross_entropy_logits(
-        C.arr_softmax("logits"), C.one_hot("label", D.N_CLASSES), 1.0 / (n * D.N_CLASSES)).alias("dz"))
-    dw, _, dx = grads.grad_linear(rows, "vec", "dz", D.formula_w(64, 10), bias=False)
+    rows = emb_logits(spark, d).select("row_id", "vec", grads.grad_cross_entropy_logits(
+        C.arr_softmax("logits"), C.one_hot("label", D.N_CLASSES), 1.0 / D.N_CLASSES).alias("dz"))
+    n = D.table(spark, d, "embeddings").agg(F.count("*").cast("double")).scalar()
+    dw, _, dx = grads.grad_linear(rows, "vec", "dz", D.formula_w(64, 10), bias=False, mean=True)
+    dx, rows = F.transform(dx, lambda x: x / F.col("n")), rows.withColumn("n", n)
     a = dw.select(F.lit("dW").alias("tensor"), F.col("k").cast("bigint").alias("i"), F.col("j").cast("int").alias("j"),
                   C.tidy("v", GRAD_DIGITS).alias("grad"))
     b = cells(rows.select("row_id", dx.alias("dx")), ["row_id"], "dx", digits=GRAD_DIGITS).select(
@@ -404,18 +428,13 @@ UNARY_GRAD_SQL = {
 @register("grad_unary", " UNION ALL ".join(_emb_rev_sql(e, op) for op, e in UNARY_GRAD_SQL.items()))
 def q_grad_unary(spark, d):
     rows = D.emb_rows(spark, d).select("row_id", "vec", F.reverse("vec").alias("g"))
-    out = None
-    for op in UNARY_GRAD_SQL:
-        if op == "sqrt":
-            e = grads.grad_unary("sqrt", F.transform("vec", lambda x: F.exp(x)), "g")
-        elif op == "pow":
-            e = grads.grad_unary("pow", "vec", "g", p=3.0)
-        else:
-            e = grads.grad_unary(op, "vec", "g")
-        part = cells(rows.select("row_id", e.alias("dx")), ["row_id"], "dx", v="grad", digits=GRAD_DIGITS).select(
-            F.lit(op).alias("op"), "row_id", "j", "grad")
-        out = part if out is None else out.unionByName(part)
-    return out
+    def rule(op):
+        x = F.transform("vec", lambda v: F.exp(v)) if op == "sqrt" else "vec"
+        return grads.grad_unary(op, x, "g", p=3.0 if op == "pow" else None)
+
+    # one scan: all rules side by side, one row per (row, rule)
+    each = rows.select("row_id", F.explode(F.array(*[F.struct(F.lit(op).alias("op"), rule(op).alias("dx")) for op in UNARY_GRAD_SQL])).alias("r"))
+    return cells(each.select("row_id", "r.op", "r.dx"), ["op", "row_id"], "dx", v="grad", digits=GRAD_DIGITS)
 
 
 @register("grad_softmax", S.with_(
@@ -482,24 +501,21 @@ def q_grad_mul(spark, d):
           f"SELECT 'mean1', row_id, j, {S.r('label / 64.0', GRAD_DIGITS)} FROM emb")
 def q_grad_reduce(spark, d):
     rows = D.emb_rows(spark, d)
-    n = rows.count()
+    rows = rows.withColumn("n", D.table(spark, d, "embeddings").agg(F.count("*").cast("double")).scalar())
+    over_n = lambda g: F.transform(g, lambda x: x / F.col("n"))
     parts = [
         ("sum", grads.grad_sum(1.0, "vec")),
-        ("mean", grads.grad_mean_all(1.0, "vec", n * 64)),
-        ("mean0", grads.grad_mean_axis0("vec", D.formula_b(64), n)),
+        ("mean", over_n(grads.grad_mean_all(1.0, "vec", 64))),
+        ("mean0", over_n(grads.grad_mean_axis0("vec", D.formula_b(64), 1))),
         ("mean1", grads.grad_mean_axis1("vec", F.col("label").cast("double"))),
     ]
-    out = None
-    for rule, e in parts:
-        p = cells(rows.select("row_id", e.alias("g")), ["row_id"], "g", v="grad", digits=GRAD_DIGITS).select(
-            F.lit(rule).alias("rule"), "row_id", "j", "grad")
-        out = p if out is None else out.unionByName(p)
-    return out
+    each = rows.select("row_id", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), e.alias("g")) for r, e in parts])).alias("r"))
+    return cells(each.select("row_id", "r.rule", "r.g"), ["rule", "row_id"], "g", v="grad", digits=GRAD_DIGITS)
 
 
 @register("grad_accumulate", S.with_(S.EMB) + f"SELECT row_id, j, {S.r('x + 2.0 * x', GRAD_DIGITS)} AS grad FROM emb")
 def q_grad_accumulate(spark, d):
-    base = D.emb_rows(spark, d).select("row_id", F.posexplode("vec").alias("j", "x"))
+    base = D.emb_rows(spark, d).select("row_id", F.posexplode("vec").alias("j", "x"))  # two contributions, so two scans
     c1 = base.select("row_id", "j", F.col("x").alias("grad"))
     c2 = base.select("row_id", "j", (F.col("x") * 2.0).alias("grad"))
     return grads.grad_accumulate([c1, c2], ["row_id", "j"]).select("row_id", "j",

@@ -2,7 +2,7 @@
 
 Per epoch:
 
-1. parameters (model-sized, bounded by ``MAX_MODEL_PARAMS``) are broadcast;
+1. parameters (model-sized) are broadcast;
 2. ``mapInArrow`` runs the numpy forward/backward over each task's rows, Arrow batch by Arrow batch (mini-batch
    by mini-batch when the model has batch norm), and emits one gradient *packet* per task, cut into fixed-size
    blocks, plus per-(part, batch) loss sums;
@@ -10,7 +10,8 @@ Per epoch:
    ``bucket = task % ceil(sqrt(tasks))`` -- so no reducer receives more than ~sqrt(tasks) packets per block;
 4. the summed gradient (model-sized) is collected and one optimizer step runs on the driver.
 
-The sample table is prepared once (partition + batch columns, one shuffle) and persisted; every epoch reuses it.
+The sample table is prepared once (partition + batch columns, one shuffle) and written to the shared folder; every step
+reads it. An epoch makes ``steps_per_epoch`` such steps, each over its share of the batches.
 Losses follow ``normalize``: ``'samples'`` gives the gradient of the mean loss over all samples,
 ``'reference'`` sums per-batch mean gradients and divides by the sample count. ``batch_weights='prefix'``
 weighs batch b of K by K - b (the accumulate-without-reset behaviour), ``'uniform'`` by 1.
@@ -20,11 +21,11 @@ from __future__ import annotations
 
 import math
 import time
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,7 @@ from tablegrad.functions.arrow import column, list_to_matrix
 from tablegrad.operators import batching
 from tablegrad.operators.nn import BatchNorm1d, param_specs
 from tablegrad.operators.optim import SGD, Adam, clip_np
+from tablegrad.session import scratch_path
 
 BLOCK = 4096  # doubles per gradient block row
 
@@ -43,7 +45,7 @@ PACKET_SCHEMA = T.StructType([
     T.StructField("block", T.IntegerType()),
     T.StructField("grad", T.ArrayType(T.DoubleType())),
     T.StructField("part", T.IntegerType()),
-    T.StructField("batch_id", T.IntegerType()),
+    T.StructField("batch_id", T.LongType()),
     T.StructField("loss_sum", T.DoubleType()),
     T.StructField("n", T.LongType()),
 ])
@@ -51,38 +53,45 @@ PACKET_SCHEMA = T.StructType([
 
 @dataclass
 class TrainConfig:
-    loss: str = "cross_entropy"          # 'cross_entropy' | 'mse'
+    loss: object = "cross_entropy"       # 'cross_entropy' | 'mse' | a function (out, target) -> (row losses, gradient)
     reduction: str = "elements"          # cross entropy: 'elements' (rows x classes) | 'batch' (rows)
     normalize: str = "samples"           # 'samples' | 'reference'
     batch_weights: str = "uniform"       # 'uniform' | 'prefix'
     batch_size: int = 64
     num_partitions: int = 4
     epochs: int = 1
-    optimizer: str = "sgd"               # 'sgd' | 'adam'
+    optimizer: object = "sgd"            # 'sgd' | 'adam' | an object with step(params, grads)
+    steps_per_epoch: int = 1             # global steps: step s of S takes the batches with batch_id % S = s
     lr: float = 0.01
     clip: float | None = None
     barrier: bool = False
-    checkpoint_samples: bool = False     # write the prepared samples to spark.checkpoint.dir (survives lost executors)
     adam: dict = field(default_factory=dict)
 
 
 def prepare_samples(df: DataFrame, id_col: str, features: str, target: str, cfg: TrainConfig,
-                    whole_batches: bool = False) -> DataFrame:
+                    whole_batches: bool = False, batched: bool = True) -> DataFrame:
     """Sample table with part / batch columns.
 
-    Without batch norm the gradient is a per-sample sum, so rows stay in their rank slices. With batch norm every
-    mini-batch must sit whole in one task: rows are hash-partitioned by (part, batch_id) -- groups of at most B
-    rows -- and sorted so each batch is contiguous.
+    ``batched=False`` is enough for a gradient that doesn't depend on batches: no rank, no sort. Without batch norm
+    rows stay in their rank slices. With batch norm every mini-batch must sit whole in one task: rows are
+    hash-partitioned by (part, batch_id) -- groups of at most B rows -- and sorted so each batch is contiguous.
     """
-    b = batching.assign_batches(df.select(id_col, features, target), id_col, cfg.num_partitions, cfg.batch_size)
+    x = df.select(id_col, features, target)
+    if batched or whole_batches or cfg.batch_weights == "prefix" or cfg.normalize != "samples":
+        b = batching.assign_batches(x, id_col, cfg.num_partitions, cfg.batch_size)
+    else:
+        zero = F.lit(0).cast("bigint")
+        b = batching.assign_partition(x, id_col, cfg.num_partitions).withColumns({"batch_id": zero, "bsize": F.lit(1), "nbatches": zero + 1})
     out = b.select(F.col(id_col).alias("id"), F.col(features).alias("features"), F.col(target).alias("target"),
                    "part", "batch_id", "bsize", "nbatches")
     n = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if cfg.barrier:
         # a barrier stage needs one free slot per task and a plain shuffle boundary below it (no coalesce)
         n = min(n, out.sparkSession.sparkContext.defaultParallelism)
-    if whole_batches or cfg.barrier:
+    if whole_batches:
         out = out.repartition(n, "part", "batch_id").sortWithinPartitions("part", "batch_id", "id")
+    elif cfg.barrier:
+        out = out.repartition(n, "id")
     return out
 
 
@@ -96,19 +105,20 @@ def _out_width(layers) -> int:
             return layer.out_features
         if isinstance(layer, BatchNorm1d):
             return layer.num_features
+        if getattr(layer, "width", None):
+            return layer.width
     raise ValueError("model has no sized layer")
 
 
-def _packet_kernel(bc, layers, cfg: TrainConfig, n_total: int, n_buckets: int):
-    out_k = _out_width(layers)
-    k_norm = out_k if (cfg.loss == "mse" or cfg.reduction == "elements") else 1
-    has_bn = any(isinstance(layer, BatchNorm1d) for layer in layers)
+def _packet_kernel(bc, layers, cfg: TrainConfig, n_buckets: int):
+    k_norm = k_norm_of(layers, cfg)
+    has_bn = has_batch_norm(layers)
 
     def weights_for(bsize, nb, batch_id):
         if cfg.normalize == "samples":
-            w = np.full(len(bsize), 1.0 / (n_total * k_norm))
+            w = np.full(len(bsize), 1.0 / k_norm)
         else:
-            w = 1.0 / (bsize.astype(np.float64) * k_norm * n_total)
+            w = 1.0 / (bsize.astype(np.float64) * k_norm)
         if cfg.batch_weights == "prefix":
             w = w * (nb - batch_id).astype(np.float64)
         return w
@@ -120,18 +130,21 @@ def _packet_kernel(bc, layers, cfg: TrainConfig, n_total: int, n_buckets: int):
         params = bc.value
         acc = [np.zeros_like(p) for p in params]
         loss_rows: dict[tuple[int, int], list] = {}
+        stats: dict[int, list] = {}  # batch-norm layer -> [sum of batch means, sum of batch variances, batches]
+        seen = 0
 
         def run(x, y, part, bid, bsize, nb):
+            nonlocal seen
+            seen += len(x)
             w = weights_for(bsize, nb, bid)
-            grads, row_loss = kernels.batch_gradient(x, y, layers, params, cfg.loss, w, cfg.reduction)
+            grads, row_loss = kernels.batch_gradient(x, y, layers, params, cfg.loss, w, cfg.reduction, stats=stats)
             for a, g in zip(acc, grads):
                 a += g
-            keys = part.astype(np.int64) * (1 << 31) + bid.astype(np.int64)
-            uk, inv = np.unique(keys, return_inverse=True)
-            sums = np.bincount(inv, weights=row_loss)
-            cnts = np.bincount(inv)
-            for key, s, c in zip(uk, sums, cnts):
-                r = loss_rows.setdefault((int(key >> 31), int(key & ((1 << 31) - 1))), [0.0, 0])
+            uk, inv = np.unique(np.stack([part.astype(np.int64), bid.astype(np.int64)], 1), axis=0, return_inverse=True)
+            sums = np.bincount(inv.ravel(), weights=row_loss)
+            cnts = np.bincount(inv.ravel())
+            for key, s, c in zip(uk.tolist(), sums, cnts):
+                r = loss_rows.setdefault(tuple(key), [0.0, 0])
                 r[0] += float(s)
                 r[1] += int(c)
 
@@ -148,8 +161,7 @@ def _packet_kernel(bc, layers, cfg: TrainConfig, n_total: int, n_buckets: int):
             # batch norm needs whole mini-batches: rows arrive ordered by (part, id), so batches are contiguous
             if pending is not None:
                 cols = {k: np.concatenate([pending[k], v]) for k, v in cols.items()}
-            key = cols["part"].astype(np.int64) * (1 << 31) + cols["bid"]
-            last = np.nonzero(key != key[-1])[0]
+            last = np.nonzero((cols["part"] != cols["part"][-1]) | (cols["bid"] != cols["bid"][-1]))[0]
             cut = int(last[-1]) + 1 if len(last) else 0
             done = {k: v[:cut] for k, v in cols.items()}
             pending = {k: v[cut:] for k, v in cols.items()}
@@ -160,26 +172,14 @@ def _packet_kernel(bc, layers, cfg: TrainConfig, n_total: int, n_buckets: int):
         if cfg.barrier:
             BarrierTaskContext.get().barrier()
         flat = np.concatenate([a.ravel() for a in acc]) if acc else np.zeros(0)
-        n_blocks = max(1, math.ceil(len(flat) / BLOCK))
-        blocks = [flat[b * BLOCK:(b + 1) * BLOCK] for b in range(n_blocks)]
-        size = n_blocks + len(loss_rows)
-        offsets = np.zeros(n_blocks + 1, dtype=np.int32)
-        offsets[1:] = np.cumsum([len(b) for b in blocks])
-        grad_arr = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(blocks)))
-        null_list = pa.nulls(len(loss_rows), pa.list_(pa.float64()))
-        lk = list(loss_rows.items())
+        rows = [(0, i, flat[i * BLOCK:(i + 1) * BLOCK], None, None, None, seen) for i in range(max(1, math.ceil(len(flat) / BLOCK)))]
+        rows += [(1, None, None, part, bid, s, n) for (part, bid), (s, n) in loss_rows.items()]
+        rows += [(2, k, np.concatenate([m, v]), None, None, None, n) for k, (m, v, n) in stats.items()]
+        kind, block, grad, part, bid, loss, n = zip(*rows)
         yield pa.RecordBatch.from_arrays([
-            pa.array([0] * n_blocks + [1] * len(lk), pa.int32()),
-            pa.array([pid % n_buckets] * size, pa.int32()),
-            pa.array(list(range(n_blocks)) + [None] * len(lk), pa.int32()),
-            pa.concat_arrays([grad_arr, null_list]),
-            pa.array([None] * n_blocks + [k[0] for k, _ in lk], pa.int32()),
-            pa.array([None] * n_blocks + [k[1] for k, _ in lk], pa.int32()),
-            pa.array([None] * n_blocks + [v[0] for _, v in lk], pa.float64()),
-            pa.array([None] * n_blocks + [v[1] for _, v in lk], pa.int64()),
-        ], schema=pa.schema([pa.field(f.name, t) for f, t in zip(PACKET_SCHEMA.fields, [
-            pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.int32(), pa.int32(), pa.float64(),
-            pa.int64()])]))
+            pa.array(kind, pa.int32()), pa.array([pid % n_buckets] * len(rows), pa.int32()), pa.array(block, pa.int32()),
+            pa.array(grad, pa.list_(pa.float64())), pa.array(part, pa.int32()), pa.array(bid, pa.int64()),
+            pa.array(loss, pa.float64()), pa.array(n, pa.int64())], names=[f.name for f in PACKET_SCHEMA.fields])
 
     return kernel
 
@@ -187,35 +187,46 @@ def _packet_kernel(bc, layers, cfg: TrainConfig, n_total: int, n_buckets: int):
 def _run_groups(run, cols):
     if not len(cols["x"]):
         return
-    key = cols["part"].astype(np.int64) * (1 << 31) + cols["bid"]
-    bounds = np.nonzero(np.diff(key))[0] + 1
-    for s, e in zip(np.r_[0, bounds], np.r_[bounds, len(key)]):
+    bounds = np.nonzero((np.diff(cols["part"]) != 0) | (np.diff(cols["bid"]) != 0))[0] + 1
+    for s, e in zip(np.r_[0, bounds], np.r_[bounds, len(cols["x"])]):
         run(**{k: v[s:e] for k, v in cols.items()})
 
 
 def array_sum_agg(c: str):
     """Elementwise sum of the arrays in a group (groups are bounded by the bucket fan-in)."""
     lst = F.collect_list(c)
-    return F.aggregate(F.slice(lst, 2, 1 << 30), F.element_at(lst, 1),
-                       lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
+    zero = F.transform(F.element_at(lst, 1), lambda x: F.lit(0.0))
+    return F.aggregate(lst, zero, lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
 
 
-def packets(samples: DataFrame, layers, params: list[np.ndarray], cfg: TrainConfig, n_total: int) -> DataFrame:
+def packets(samples: DataFrame, layers, params: list[np.ndarray], cfg: TrainConfig) -> DataFrame:
     spark = samples.sparkSession
+    if isinstance(cfg.loss, str) and cfg.loss not in ("cross_entropy", "mse"):
+        raise ValueError(f"unknown loss {cfg.loss}")
     bc = spark.sparkContext.broadcast([np.asarray(p, dtype=np.float64) for p in params])
-    n_tasks = samples.rdd.getNumPartitions()
-    n_buckets = max(1, math.ceil(math.sqrt(n_tasks)))
-    kernel = _packet_kernel(bc, layers, cfg, n_total, n_buckets)
+    n_buckets = max(1, math.ceil(math.sqrt(int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    kernel = _packet_kernel(bc, layers, cfg, n_buckets)
     out = samples.mapInArrow(kernel, PACKET_SCHEMA, barrier=cfg.barrier)
     out._tablegrad_broadcast = bc  # keep a handle so the caller can unpersist it
     return out
 
 
 def summed_gradient(pk: DataFrame) -> DataFrame:
-    """Two-level sum of the gradient blocks -> (block, grad)."""
+    """Two-level sum of the gradient blocks, divided by the samples counted in the same pass -> (block, grad)."""
     g = pk.where(F.col("kind") == 0)
-    lvl1 = g.groupBy("bucket", "block").agg(array_sum_agg("grad").alias("grad"))
-    return lvl1.groupBy("block").agg(array_sum_agg("grad").alias("grad"))
+    lvl1 = g.groupBy("bucket", "block").agg(array_sum_agg("grad").alias("grad"), F.sum("n").alias("n"))
+    both = lvl1.groupBy("block").agg(array_sum_agg("grad").alias("grad"), F.sum("n").alias("n"))
+    return both.select("block", F.transform("grad", lambda x: x / F.greatest(F.col("n"), F.lit(1))).alias("grad"))
+
+
+def batch_norm_stats(pk: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Mean over batches of the batch means and variances of each batch-norm layer (model-sized)."""
+    s = pk.where(F.col("kind") == 2).groupBy("block").agg(array_sum_agg("grad").alias("grad"), F.sum("n").alias("n")).collect()
+    out = {}
+    for r in s:
+        v = np.asarray(r["grad"]) / r["n"]
+        out[int(r["block"])] = (v[:len(v) // 2], v[len(v) // 2:])
+    return out
 
 
 def gradient_cells(pk: DataFrame, layers) -> DataFrame:
@@ -230,7 +241,7 @@ def gradient_cells(pk: DataFrame, layers) -> DataFrame:
     names = F.array(*[F.lit(n) for n, _ in specs])
     starts = F.array(*[F.lit(int(o)) for o in offs[:-1]])
     return ex.select("param_id", F.element_at(names, F.col("param_id") + 1).alias("name"),
-                     (F.col("_flat") - F.element_at(starts, F.col("param_id") + 1)).cast("int").alias("pos"), "grad")
+                     (F.col("_flat") - F.element_at(starts, F.col("param_id") + 1)).alias("pos"), "grad")
 
 
 def partition_losses(pk: DataFrame, k_norm: int) -> DataFrame:
@@ -247,10 +258,9 @@ def collect_gradient(pk: DataFrame, layers) -> list[np.ndarray]:
     specs = param_specs(layers)
     total = sum(int(np.prod(s)) for _, s in specs)
     flat = np.zeros(total)
-    for r in summed_gradient(pk).collect():
-        b = int(r["block"])
-        g = np.asarray(r["grad"], dtype=np.float64)
-        flat[b * BLOCK:b * BLOCK + len(g)] = g
+    got = summed_gradient(pk).orderBy("block").toArrow()
+    if got.num_rows:
+        flat[:] = got["grad"].combine_chunks().flatten().to_numpy()
     out, o = [], 0
     for _, shape in specs:
         n = int(np.prod(shape))
@@ -266,37 +276,69 @@ HISTORY_SCHEMA = T.StructType([
 
 
 def k_norm_of(layers, cfg: TrainConfig) -> int:
-    return _out_width(layers) if (cfg.loss == "mse" or cfg.reduction == "elements") else 1
+    return _out_width(layers) if (cfg.loss == "mse" or callable(cfg.loss) or cfg.reduction == "elements") else 1
+
+
+def make_optimizer(cfg: TrainConfig):
+    """The named optimizer, or the user's own object."""
+    if hasattr(cfg.optimizer, "step"):
+        return cfg.optimizer
+    if cfg.optimizer == "sgd":
+        return SGD(cfg.lr)
+    if cfg.optimizer == "adam":
+        return Adam(lr=cfg.lr, **cfg.adam)
+    raise ValueError(f"unknown optimizer {cfg.optimizer}")
 
 
 def train(spark: SparkSession, df: DataFrame, id_col: str, features: str, target: str, layers,
           params: list[np.ndarray], cfg: TrainConfig):
-    """Returns (final parameters, history DataFrame). One global optimizer step per epoch."""
+    """Returns (final parameters, history DataFrame); ``cfg.steps_per_epoch`` global optimizer steps per epoch."""
+    params, _, hist = train_with_buffers(spark, df, id_col, features, target, layers, params, cfg)
+    return params, hist
+
+
+def train_with_buffers(spark: SparkSession, df: DataFrame, id_col: str, features: str, target: str, layers,
+                       params: list[np.ndarray], cfg: TrainConfig, buffers: dict | None = None):
+    """(parameters, batch-norm buffers, history). ``buffers``: layer -> (running mean, running variance).
+
+    Each global step moves the running statistics by the layer's momentum towards the mean of its batch statistics.
+    """
+    opt = make_optimizer(cfg)
     samples = prepare_samples(df, id_col, features, target, cfg, has_batch_norm(layers))
-    if cfg.checkpoint_samples:
-        from tablegrad.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        samples = samples.checkpoint(eager=True)
-    else:
-        samples = samples.persist(StorageLevel.MEMORY_AND_DISK)
-    n_total = samples.count()
-    batching.release()
-    opt = SGD(cfg.lr) if cfg.optimizer == "sgd" else Adam(lr=cfg.lr, **cfg.adam)
+    path = scratch_path(spark, f"samples-{uuid.uuid4().hex}")
+    samples.write.parquet(path)  # every step reads this table; nothing is cached on executors
+    samples = spark.read.schema(samples.schema).parquet(path)
+    if has_batch_norm(layers):
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        samples = samples.repartition(n, "part", "batch_id").sortWithinPartitions("part", "batch_id", "id")
     k_norm = k_norm_of(layers, cfg)
+    buffers = dict(buffers or {k: (np.zeros(x.num_features), np.ones(x.num_features)) for k, x in enumerate(layers) if isinstance(x, BatchNorm1d)})
     hist = []
     params = [np.asarray(p, dtype=np.float64) for p in params]
     for epoch in range(cfg.epochs):
-        t0 = time.time()
-        pk = packets(samples, layers, params, cfg, n_total).persist(StorageLevel.MEMORY_AND_DISK)
-        grads = collect_gradient(pk, layers)
-        losses = partition_losses(pk, k_norm).collect()
-        if cfg.clip is not None:
-            grads = clip_np(grads, cfg.clip)
-        params = opt.step(params, grads)
-        pk._tablegrad_broadcast.unpersist(blocking=True)
-        pk.unpersist()
-        ms = int((time.time() - t0) * 1000)
-        hist.extend((epoch + 1, int(r["part"]), int(r["batches"]), int(r["n"]), float(r["avg_batch_loss"]), ms)
-                    for r in losses)
-    samples.unpersist()
-    return params, spark.createDataFrame(hist, HISTORY_SCHEMA)
+        for step in range(cfg.steps_per_epoch):
+            t0 = time.time()
+            own = samples.where(F.col("batch_id") % cfg.steps_per_epoch == step) if cfg.steps_per_epoch > 1 else samples
+            pk_path = scratch_path(spark, f"packets-{uuid.uuid4().hex}")
+            pk = packets(own, layers, params, cfg)
+            pk.write.parquet(pk_path)
+            pk._tablegrad_broadcast.unpersist(blocking=True)
+            pk = spark.read.schema(PACKET_SCHEMA).parquet(pk_path)
+            grads = collect_gradient(pk, layers)
+            losses = partition_losses(pk, k_norm).collect()
+            for k, (m, v) in batch_norm_stats(pk).items() if buffers else ():
+                a = layers[k].momentum
+                buffers[k] = ((1 - a) * buffers[k][0] + a * m, (1 - a) * buffers[k][1] + a * v)
+            if cfg.clip is not None:
+                grads = clip_np(grads, cfg.clip)
+            params = opt.step(params, grads)
+            ms = int((time.time() - t0) * 1000)
+            hist.extend((epoch + 1, int(r["part"]), int(r["batches"]), int(r["n"]), float(r["avg_batch_loss"]), ms)
+                        for r in losses)
+    return params, buffers, spark.createDataFrame(hist, HISTORY_SCHEMA)
+
+
+def buffer_table(spark: SparkSession, buffers: dict) -> DataFrame:
+    """Batch-norm buffers as ``(layer, j, running_mean, running_var)``."""
+    rows = [(int(k), j, float(m), float(v)) for k, (ms, vs) in buffers.items() for j, (m, v) in enumerate(zip(ms, vs))]
+    return spark.createDataFrame(rows, "layer int, j int, running_mean double, running_var double")

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegrad.operators.layout import checked
+
 IMAGE_MAGIC = 2051
 LABEL_MAGIC = 2049
 
@@ -53,15 +55,16 @@ def encode_idx(kind: str, arr: np.ndarray, rows: int = 0, cols: int = 0) -> byte
 
 
 def shard_name(path: str) -> str:
+    """Both files of a pair have one shard name: ``x-images.idx.gz``, ``train-images-idx3-ubyte.gz`` and the like."""
     base = os.path.basename(path)
-    for suffix in (".gz", ".idx", "-images", "-labels"):
+    for suffix in (".gz", ".idx", "-idx3-ubyte", "-idx1-ubyte", ".idx3-ubyte", ".idx1-ubyte", "-images", "-labels"):
         base = base.replace(suffix, "")
     return base
 
 
-def read_idx(spark: SparkSession, path: str, chunk_rows: int = 4096) -> DataFrame:
-    """A directory of ``<shard>-images.idx.gz`` / ``<shard>-labels.idx.gz`` files -> one record per item."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.idx.gz").load(path)
+def read_idx(spark: SparkSession, path: str, chunk_rows: int = 4096, name_filter: str = "*{idx,ubyte}*") -> DataFrame:
+    """A directory of IDX files, gzip or plain, in their standard names or as shards -> one record per item."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", name_filter).load(path)
     return parse_files(files.select("path", "content"), chunk_rows)
 
 
@@ -96,18 +99,13 @@ def parse_files(files: DataFrame, chunk_rows: int = 4096) -> DataFrame:
 
 
 def pair_images_labels(records: DataFrame) -> DataFrame:
-    """Positional zip of images and labels per shard, with the count check done first.
+    """Positional zip of images and labels per shard: one pass, one shuffle.
 
-    The check is an aggregate per shard (full outer on the per-shard counts); mismatching counts fail the job.
+    An image without a label at its position, or the reverse, fails the job (the counts differ).
     """
-    counts = records.groupBy("shard").agg(F.sum((F.col("kind") == "images").cast("long")).alias("ni"),
-                                          F.sum((F.col("kind") == "labels").cast("long")).alias("nl"))
-    bad = counts.where(F.col("ni") != F.col("nl")).limit(1).collect()
-    if bad:
-        raise ValueError(f"idx: image / label counts differ in shard {bad[0]['shard']}")
-    im = records.where(F.col("kind") == "images").select("shard", "idx", "pixels")
-    lb = records.where(F.col("kind") == "labels").select("shard", "idx", "label")
-    return im.join(lb, ["shard", "idx"], "inner")
+    r = records.groupBy("shard", "idx").agg(F.max("pixels").alias("pixels"), F.max("label").alias("label"), F.count("*").alias("_n"))
+    both = F.col("pixels").isNotNull() & F.col("label").isNotNull() & (F.col("_n") == 2)
+    return r.select("shard", "idx", "pixels", checked(F.col("label"), both, "idx: image / label counts differ").alias("label"))
 
 
 def idx_shard_files(df: DataFrame, shard_col: str, idx_col: str, pixels_col: str, label_col: str,

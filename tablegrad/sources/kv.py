@@ -2,12 +2,12 @@
 
 The scan decodes the image blob and the big-endian int32 label, checks required columns, and one-hot encodes the
 label into a sample ``(row_key, features, target)``. Writes are plain Parquet; an upsert keeps the newest version
-per key (union + ``row_number`` over the key), which is a shuffle by key with no driver involvement.
+per key (union + ``max`` of the row by version), partly summed before one shuffle by key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegrad.functions.columns import col, one_hot
@@ -74,9 +74,16 @@ def upsert(existing: DataFrame, updates: DataFrame, key: str = "row_key", versio
     """
     u = existing.unionByName(updates)
     others = [c for c in u.columns if c != key]
-    best = u.groupBy(key).agg(F.max_by(F.struct(*others), F.col(version)).alias("_b"))
+    # equal versions: the largest row wins, so the result doesn't depend on the order of rows
+    rest = [c for c in others if c != version]
+    best = u.groupBy(key).agg(F.max(F.struct(version, *rest)).alias("_b"))
     return best.select(key, *[F.col("_b")[c].alias(c) for c in others])
 
 
-def write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+def write(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Write rows to a table folder; it is made if it isn't there."""
+    df.select("row_key", "image", "label").write.mode(mode).parquet(path)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("row_key string, image binary, label binary").parquet(path)

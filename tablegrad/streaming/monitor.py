@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tablegrad.operators.nn import forward_expr
+from tablegrad.operators.nn import forward_rows
 from tablegrad.session import scratch_path
 from tablegrad.sources import losslog
 
@@ -23,13 +23,13 @@ BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 
 
-def loss_monitor(spark: SparkSession, log_dir: str, encoding: str = "UTF-8", glob: str = "*") -> DataFrame:
+def loss_monitor(spark: SparkSession, log_dir: str, encoding: str = "UTF-8", glob: str = "*", max_files: int = 64) -> DataFrame:
     """Streaming DataFrame: ``(part, steps, first_loss, last_loss, min_loss, mean_loss)``.
 
     Order inside the stream is (file name, line number), so "last" is the latest line of the latest file.
     """
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
-             .option("maxFilesPerTrigger", 64).load(log_dir).select("path", "content"))
+             .option("maxFilesPerTrigger", max_files).load(log_dir).select("path", "content"))
     parsed = losslog.parse(losslog.lines_from_files(files, encoding))
     order = F.struct("file", "line_no")
     return parsed.groupBy("part").agg(F.count("*").alias("steps"), F.min_by("loss", order).alias("first_loss"),
@@ -49,4 +49,4 @@ def score_stream(spark: SparkSession, samples_dir: str, schema: T.StructType, la
                  features: str = "features") -> DataFrame:
     """Streaming forward pass over Parquet sample files: ``(id, output ARRAY<DOUBLE>)``."""
     src = spark.readStream.schema(schema).parquet(samples_dir)
-    return src.select(id_col, forward_expr(features, layers, params).alias("output"))
+    return forward_rows(src, layers, params, features, "output", [id_col])

@@ -43,7 +43,7 @@ def test_kernel_gradient_matches_finite_differences(spark, layers):
     params = nn.init_params_np(layers, seed=3)
     cfg = TR.TrainConfig(loss="cross_entropy", batch_size=8, num_partitions=3)
     s = TR.prepare_samples(_samples(spark, x, y), "row_id", "features", "target", cfg, TR.has_batch_norm(layers))
-    g = TR.collect_gradient(TR.packets(s, layers, params, cfg, len(x)), layers)
+    g = TR.collect_gradient(TR.packets(s, layers, params, cfg), layers)
     ids = list(range(len(x)))
     h = 1e-6
     for pi, p in enumerate(params):
@@ -63,7 +63,7 @@ def test_partition_count_and_barrier_do_not_change_gradient(spark):
         cfg = TR.TrainConfig(batch_size=32, num_partitions=parts, barrier=barrier)
         s = TR.prepare_samples(emb_samples(spark, SF), "row_id", "features", "target", cfg)
         out.append(np.concatenate([g.ravel() for g in TR.collect_gradient(
-            TR.packets(s, MLP_LAYERS, mlp_params(), cfg, s.count()), MLP_LAYERS)]))
+            TR.packets(s, MLP_LAYERS, mlp_params(), cfg), MLP_LAYERS)]))
     assert np.allclose(out[0], out[1], atol=1e-12) and np.allclose(out[1], out[2], atol=1e-12)
 
 
@@ -71,7 +71,7 @@ def test_relational_gradient_equals_kernel(spark):
     from tablegrad.plans.catalog_train import LIN_LAYERS, emb_samples, lin_params, linear_ce_grad_cells
     cfg = TR.TrainConfig(batch_size=32, num_partitions=4)
     s = TR.prepare_samples(emb_samples(spark, SF), "row_id", "features", "target", cfg)
-    k = TR.collect_gradient(TR.packets(s, LIN_LAYERS, lin_params(), cfg, s.count()), LIN_LAYERS)
+    k = TR.collect_gradient(TR.packets(s, LIN_LAYERS, lin_params(), cfg), LIN_LAYERS)
     rel = {(r.param_id, r.pos): r.grad for r in linear_ce_grad_cells(spark, SF).collect()}
     assert max(abs(rel[(0, p)] - v) for p, v in enumerate(k[0].ravel())) < 1e-12
     assert max(abs(rel[(1, p)] - v) for p, v in enumerate(k[1].ravel())) < 1e-12
@@ -87,7 +87,7 @@ def test_reference_normalisation_and_prefix_weights(spark):
     for norm, bw in (("reference", "uniform"), ("reference", "prefix")):
         cfg = TR.TrainConfig(normalize=norm, batch_weights=bw, **base)
         s = TR.prepare_samples(_samples(spark, x, y), "row_id", "features", "target", cfg)
-        grads[bw] = TR.collect_gradient(TR.packets(s, layers, params, cfg, 20), layers)
+        grads[bw] = TR.collect_gradient(TR.packets(s, layers, params, cfg), layers)
     # numpy: per partition, batch means of the gradient, prefix weight K - b
     exp = {"uniform": [np.zeros((3, 1)), np.zeros(1)], "prefix": [np.zeros((3, 1)), np.zeros(1)]}
     for p in range(2):
@@ -175,15 +175,3 @@ def test_table_resident_steps_cut_lineage(spark):
         err = x @ w + b - y
         w, b = w - 0.1 * x.T @ (2 * err) / 30, b - 0.1 * (2 * err).sum(axis=0) / 30
     assert np.allclose(got[0], w) and np.allclose(got[1], b)
-
-
-def test_checkpointed_samples_train_the_same(spark):
-    from tablegrad.plans.catalog_train import MLP_LAYERS, emb_samples
-    out = []
-    for ck in (False, True):
-        cfg = TR.TrainConfig(batch_size=32, num_partitions=4, epochs=2, optimizer="adam", lr=0.01,
-                             checkpoint_samples=ck)
-        params, _ = TR.train(spark, emb_samples(spark, SF), "row_id", "features", "target", MLP_LAYERS,
-                             nn.init_params_np(MLP_LAYERS, 7), cfg)
-        out.append(np.concatenate([p.ravel() for p in params]))
-    assert np.allclose(out[0], out[1], atol=1e-12)
