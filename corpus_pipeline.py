@@ -16,17 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegrad.llm import decontam, jaccard, packing, quality, secret_scan
-from tablegrad.llm.common import table
-from tablegrad.session import scratch_path, ship_package
+from tablegrad.llm.common import prepare, table
+from tablegrad.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return quality.keep_documents(docs, quality.POLICIES[quality.DEFAULT])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return jaccard.one_of_each(docs)
 
 
@@ -35,12 +35,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return secret_scan.redact(docs, secret_scan.train(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     pieces = packing.pack(docs)
     return pieces.select("sequence_id", "offset", "doc_id", "start", "length", "doc_tokens", F.crc32("ids").alias("ids_crc32"), "ids")
 

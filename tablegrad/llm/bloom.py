@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import column, ints
+from .common import column, deflated, ints
 
 #: log2 of the bits: 4 MB at any size of the input, also the most that the driver ever gathers and broadcasts.
 LOG_BITS = 25
@@ -62,21 +62,30 @@ def of_ids(ids: DataFrame, id_col: str, log_bits: int = LOG_BITS) -> Bloom:
     return build(ids.select(F.xxhash64(id_col).alias("_h")), "_h", log_bits)
 
 
+def hashed(df: DataFrame, key: Column) -> tuple[DataFrame, str]:
+    """``df`` with the hash of its key that ``kept`` tests, and that column's name."""
+    name = "_hash"
+    while name in df.columns:
+        name += "_"
+    return df.select("*", F.xxhash64(key).alias(name)), name
+
+
+def kept(batches: Iterator[pa.RecordBatch], name: str, bloom: Bloom, member: bool) -> Iterator[pa.RecordBatch]:
+    """The rows that may be members, or those that surely aren't, without the hash. For use inside a scan's function,
+    so that a task needs no Python worker of its own for the test."""
+    for b in batches:
+        hit = bloom.test(np.ascontiguousarray(ints(b, name)))
+        if not member:
+            hit = ~hit
+        if hit.any():
+            yield b.filter(pa.array(hit)).select([c for c in b.schema.names if c != name])
+
+
 def possible(df: DataFrame, key: Column, bloom: Bloom, member: bool = True) -> DataFrame:
     """The rows of ``df`` whose key (hashed by Spark) may be a member, or those that surely aren't one."""
     shared = df.sparkSession.sparkContext.broadcast(bloom)
-    names = df.columns
-    hashed = "_hash"
-    while hashed in names:
-        hashed += "_"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            hit = shared.value.test(np.ascontiguousarray(ints(b, hashed)))
-            if (hit if member else ~hit).any():
-                yield b.filter(pa.array(hit if member else ~hit)).select(names)
-
-    return df.select("*", F.xxhash64(key).alias(hashed)).mapInArrow(run, df.schema)
+    x, name = hashed(df, key)
+    return x.mapInArrow(lambda batches: kept(batches, name, shared.value, member), df.schema)
 
 
 def without_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -87,6 +96,24 @@ def without_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFr
         possible(df, F.col(id_col), bloom).join(ids, id_col, "left_anti").select(df.columns))
 
 
-def with_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """A superset of the rows of ``df`` whose id is in ``ids``, found without a shuffle, to be joined with it."""
-    return possible(df, F.col(id_col), of_ids(ids, id_col))
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows (_id, _text) of ``docs`` that may have an id of ``ids``, the text deflated, to be joined with them."""
+    shared = docs.sparkSession.sparkContext.broadcast(of_ids(ids, "_id"))
+    x, name = hashed(docs.select("_id", "_text"), F.col("_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in kept(batches, name, shared.value, True):
+            yield pa.RecordBatch.from_arrays([column(b, "_id"), deflated(column(b, "_text"))], ["_id", "_text"])
+
+    return x.mapInArrow(run, "_id bigint, _text binary")
+
+
+def map_without_ids(docs: DataFrame, ids: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow(run)`` over the rows (_id, _text) of ``docs`` whose id isn't in ``ids``; the test runs in the same scan."""
+    ids = ids.select("_id").distinct()
+    bloom = of_ids(ids, "_id")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom)
+    x, name = hashed(docs.select("_id", "_text"), F.col("_id"))
+    sure = x.mapInArrow(lambda batches: run(kept(batches, name, shared.value, False)), schema)
+    rest = possible(docs.select("_id", "_text"), F.col("_id"), bloom).join(ids, "_id", "left_anti").select("_id", "_text")
+    return sure.unionByName(rest.mapInArrow(run, schema))

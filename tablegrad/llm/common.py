@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,15 @@ from tablegrad.session import scratch_path, ship_package
 PIECE_BYTES = 2 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Ship the package; keep Arrow batches of long texts small unless the session says otherwise."""
     ship_package(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # the default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -57,6 +65,22 @@ def pieces(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = PIECE_
             at = to
 
 
+def deflated(col: pa.Array) -> pa.Array:
+    """Texts deflated to ``binary`` for shuffles: block compression hardly shrinks short texts."""
+    raw, off = text_buffers(col)
+    data, at = raw.tobytes(), off.tolist()
+    return pa.array([zlib.compress(data[x:y], 1) for x, y in zip(at, at[1:])], pa.binary())
+
+
+def inflated(batches: Iterator[pa.RecordBatch], text_col: str = "_text", rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of ``deflated`` rows with their texts again, a bounded number of rows at a time."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, rows):
+            b = whole.slice(i, rows)
+            text = pa.array([zlib.decompress(x) for x in column(b, text_col).to_pylist()], pa.large_binary()).cast(pa.large_string())
+            yield pa.RecordBatch.from_arrays([text if c == text_col else column(b, c) for c in b.schema.names], b.schema.names)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import bloom
 from . import textops as T
-from .common import checkpointed, column, ints, pieces
+from .common import checkpointed, column, inflated, ints, pieces
 from .components import components
 
 #: log2 of the counters of the frequency sketch: 4 MB in a task, 1 MB broadcast, whatever the size of the corpus.
@@ -110,8 +110,9 @@ def _frequency_classes(blocks: DataFrame) -> np.ndarray:
     return out
 
 
-def _prefixes(docs: DataFrame, rule: Rule, classes) -> DataFrame:
-    """(shingle, doc, size, pos) of every prefix entry; ``pos`` counts from 0 in rare-first order."""
+def _prefixes(docs: DataFrame, without: DataFrame, rule: Rule, classes) -> DataFrame:
+    """(shingle, doc, at) of every prefix entry; ``at`` holds the size of the set in its upper half and, in its lower
+    half, the position in rare-first order, from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, off in pieces(batches, "_text"):
@@ -125,10 +126,9 @@ def _prefixes(docs: DataFrame, rule: Rule, classes) -> DataFrame:
             keep = pos < rule.prefix(size)[row]
             row, h, pos = row[keep], h[keep], pos[keep]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(T.signed(h)), column(rows, "_id").take(pa.array(row)), pa.array(size[row].astype(np.int32)),
-                 pa.array(pos.astype(np.int32))], ["shingle", "doc", "size", "pos"])
+                [pa.array(T.signed(h)), column(rows, "_id").take(pa.array(row)), pa.array(size[row] << 32 | pos)], ["shingle", "doc", "at"])
 
-    return docs.mapInArrow(run, "shingle bigint, doc bigint, size int, pos int")
+    return bloom.map_without_ids(docs, without, run, "shingle bigint, doc bigint, at bigint")
 
 
 def _meet(entries: DataFrame, order: list[str], rule: Rule, hubs: int) -> DataFrame:
@@ -145,7 +145,8 @@ def _meet(entries: DataFrame, order: list[str], rule: Rule, hubs: int) -> DataFr
             k = ints(b, "shingle")
             if not len(k):
                 continue
-            rows = np.stack([ints(b, c).astype(np.int64) for c in ("doc", "size", "pos", "comp" if has_comp else "doc")], 1)
+            at = ints(b, "at")
+            rows = np.stack([ints(b, "doc"), at >> 32, at & 0xFFFFFFFF, ints(b, "comp" if has_comp else "doc")], 1)
             start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
             end = np.r_[start[1:], len(k)]
             out, left = [], []
@@ -166,7 +167,7 @@ def _meet(entries: DataFrame, order: list[str], rule: Rule, hubs: int) -> DataFr
                         out.append(np.stack([np.minimum(x[0], y[ok, 0]), np.maximum(x[0], y[ok, 0])], 1))
                 rest = own[max(0, hubs - len(old)):]
                 if len(rest):
-                    left.append(np.c_[np.full(len(rest), k[a]), rest[:, :3]])
+                    left.append(np.c_[np.full(len(rest), k[a]), rest[:, 0], rest[:, 1] << 32 | rest[:, 2]])
                 if g == len(start) - 1:
                     first = hub
             if not (goes_on and len(start) == 1) and (len(start) - 1) not in busy:
@@ -180,12 +181,12 @@ def _meet(entries: DataFrame, order: list[str], rule: Rule, hubs: int) -> DataFr
                     for i in range(0, len(m), 1 << 16):
                         p = m[i:i + (1 << 16)]
                         none = pa.nulls(len(p), pa.int64())
-                        cols = [p[:, 0], p[:, 1], none, none, none, none] if kind == "pair" else [none, none, *p.T]
+                        cols = [p[:, 0], p[:, 1], none, none, none] if kind == "pair" else [none, none, *p.T]
                         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(np.ascontiguousarray(c)) for c in cols],
-                                                         ["a", "b", "shingle", "doc", "size", "pos"])
+                                                         ["a", "b", "shingle", "doc", "at"])
 
     parts = entries.repartition(n, "shingle").sortWithinPartitions("shingle", *order)
-    return parts.mapInArrow(run, "a bigint, b bigint, shingle bigint, doc bigint, size bigint, pos bigint")
+    return parts.mapInArrow(run, "a bigint, b bigint, shingle bigint, doc bigint, at bigint")
 
 
 def _histogram(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
@@ -194,7 +195,7 @@ def _histogram(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) that the rule links. ``texts`` (_id, _text) has at least their documents."""
+    """The pairs (a, b) that the rule links. ``texts`` (_id, deflated _text) has at least their documents."""
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
     hubs = salts.select(F.col("a").alias("_id"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
                         F.lit(0).alias("part"))
@@ -205,7 +206,7 @@ def verify(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own, own_hist = None, None, None
-        for part, raw, off in pieces(batches, "_text"):
+        for part, raw, off in pieces(inflated(batches), "_text"):
             row, h = _sets(raw, off, rule)
             size = np.bincount(row, minlength=part.num_rows)
             at = np.r_[0, np.cumsum(size)]
@@ -249,7 +250,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     sets = info.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("_id").alias("rep"), F.count("*").alias("n"))
     copies = sets.where("n > 1").select("n_shingles", "s1", "s2", "rep")
     member = checkpointed(info.join(copies, ["n_shingles", "s1", "s2"]).select("_id", "rep").where("_id <> rep").distinct())
-    entries = _prefixes(bloom.without_ids(x, member, "_id"), rule, classes)
+    entries = _prefixes(x, member, rule, classes)
 
     links, tried, order, hubs = None, None, ["doc"], HUBS
     while True:
@@ -261,10 +262,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
         tried = pairs if tried is None else tried.unionByName(pairs)
         if not pairs.isEmpty():
             ids = pairs.select(F.explode(F.array("a", "b")).alias("_id"))
-            found = checkpointed(verify(pairs, bloom.with_ids(x, ids, "_id"), rule))
+            found = checkpointed(verify(pairs, bloom.texts_of(x, ids), rule))
             links = found if links is None else checkpointed(links.unionByName(found))
             comp = components(links)
-        rest = met.where("doc IS NOT NULL").select("shingle", "doc", "size", "pos")
+        rest = met.where("doc IS NOT NULL").select("shingle", "doc", "at")
         if rest.isEmpty():
             break
         known = comp.select(F.col("node").alias("doc"), F.col("component").alias("c")) if links is not None else None
