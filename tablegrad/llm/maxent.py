@@ -283,7 +283,15 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Mode
     x = docs.select(F.col(text_col).alias("_text"))
     counts = checkpointed(token_counts(x))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = counts.orderBy(F.desc("c"), "h").limit(HEAD).toArrow()
+    # The head holds all tokens from some count on, at most HEAD of them: a histogram of the counts (a few thousand rows
+    # at most) shows from which, so nothing is sorted and no task gathers candidates.
+    level = F.floor(F.log2("c") * 64).cast("int")
+    room, cut = HEAD, None
+    for r in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        if r["n"] > room:
+            break
+        room, cut = room - r["n"], r["level"]
+    head = counts.where(level >= cut if cut is not None else F.lit(False)).toArrow()
     vocab = Vocabulary(np.ascontiguousarray(head["h"].to_numpy()).view(np.uint64), head["c"].to_numpy())
     sent = spark.sparkContext.broadcast(vocab)
 
