@@ -286,6 +286,13 @@ _SIDE = ("comments", "sidebar", "cookie-notice", "related-posts", "newsletter",
 
 def _teaching_pages(html: str, number: int) -> str:
     """The page with a fixed boilerplate element put in front of or behind its article, filled with its own text."""
+    if number % 5 == 4:  # a short article
+        a, e = html.find("<article"), html.find("</article>")
+        html = html[:a] + "<p>".join(html[a:e].split("<p>")[:2 + number % 4]) + html[e:] if 0 <= a < e else html
+    if number % 4 == 2:  # a bare page
+        html = re.sub(r'<(nav|footer)\b.*?</\1>|<div class="ad">.*?</div>', "", html, flags=re.S)
+    if number % 8 == 6:  # without a title
+        html = re.sub(r"<h1>.*?</h1>", "", html, flags=re.S)
     paragraphs = re.findall(r"<p>([^<]{20,})</p>", html)[:3] or ["Text."]
     name = _SIDE[number % len(_SIDE)]
     inner = "".join(f"<p>{p}</p>" for p in paragraphs[:1 + number % 3])
