@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and character Markov models compared by log-likelihood ratio.
 
 Two first-order models over ``[A-Za-z0-9+/_=-]`` tell random strings from ordinary identifiers. Their labelled samples
-are the values that the fixed patterns find (label 1) and all other tokens of the corpus (label 0): every task counts
+are the values that the fixed patterns find (label 1) and the other tokens of the corpus (label 0; long ones with digits and
+letters, which the model is to judge, are neither): every task counts
 character transitions of all its texts in two small matrices, Spark sums the matrices, and the driver sees at most
 2 x 66 x 66 sums whatever the size of the corpus. A second scan finds the patterns again and scores each long token
 with a digit and a letter; its span is added as kind ``markov`` where no fixed pattern covers it.
@@ -89,6 +90,11 @@ def found(texts: list[str | None], raw: np.ndarray, off: np.ndarray) -> tuple[di
     return {r: _order(s) for r, s in spans.items()}, values, (sep, begin, cp)
 
 
+def _mixed(token: str) -> bool:
+    """A long token that the model judges: one with a digit and a letter."""
+    return any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
+
+
 def _count(raw: np.ndarray) -> np.ndarray:
     """Transitions of the tokens in ``raw`` (texts end with a byte outside the alphabet)."""
     c = CODE[raw]
@@ -99,14 +105,21 @@ def transitions(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(label, pair, n) over all texts; at most 2 * K * K rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, random = np.zeros(K * K, np.int64), np.zeros(K * K, np.int64)
+        ordinary, random = np.zeros(K * K, np.int64), np.zeros(K * K, np.int64)
         for rows, raw, off in pieces(batches, "_text"):
             texts = column(rows, "_text").to_pylist()
-            _, values, (sep, _, _) = found(texts, raw, off)
-            total += _count(np.r_[np.uint8(10), sep])
+            _, values, (sep, begin, cp) = found(texts, raw, off)
+            plain = sep.copy()
+            for a, b in zip(*(x.tolist() for x in T.long_runs(IN_TOKEN[sep], MIN_TOKEN))):
+                if _mixed(sep[a:b].tobytes().decode()):
+                    plain[a:b] = 10  # what the scan has to judge is a sample of neither kind
+            for r, places in values.items():
+                for a, b in places:
+                    plain[np.searchsorted(cp, cp[begin[r]] + a):np.searchsorted(cp, cp[begin[r]] + b)] = 10
+            ordinary += _count(np.r_[np.uint8(10), plain])
             for r, places in values.items():
                 random += _count(np.frombuffer(("\n" + "\n".join(texts[r][a:b] for a, b in places) + "\n").encode(), np.uint8))
-        for label, counts in ((1, random), (0, np.maximum(total - random, 0))):
+        for label, counts in ((1, random), (0, ordinary)):
             pair = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), label, np.int32)), pa.array(pair.astype(np.int32)),
                                               pa.array(counts[pair])], ["label", "pair", "n"])
@@ -155,7 +168,7 @@ def piece_spans(texts: list[str | None], raw: np.ndarray, off: np.ndarray, table
     start, end = T.long_runs(IN_TOKEN[sep], MIN_TOKEN)
     for a, b in zip(start.tolist(), end.tolist()):
         token = sep[a:b].tobytes().decode()
-        if any(c.isdigit() for c in token) and any(c.isalpha() for c in token):
+        if _mixed(token):
             r = int(np.searchsorted(begin, a, "right")) - 1
             x, y = int(cp[a] - cp[begin[r]]), int(cp[b] - cp[begin[r]])
             if not any(s < y and x < e for _, s, e in spans.get(r, ())) and score(token, table) >= threshold:
