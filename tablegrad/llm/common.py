@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablegrad.session import scratch_path, ship_package
 
 #: Bytes of text that one numpy step handles; a longer single text is one step of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -39,6 +42,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_share(key: Column, rows: int, most: int) -> Column:
+    """True for a fixed share of the keys, chosen by hash, that holds about twice ``most`` of ``rows`` rows (all, if they
+    are no more): what is sorted for an exact bound then doesn't grow with the table."""
+    return F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 31)) < F.lit(int(min(1.0, 2 * most / max(rows, 1)) * (1 << 31)))
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty. ``offsets`` has one entry more than the rows."""
     if isinstance(col, pa.ChunkedArray):
@@ -52,6 +61,12 @@ def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its task and stands beside the executor's heap."""
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = PIECE_BYTES) -> Iterator[tuple]:
     """(rows of the batch, bytes, offsets) with at most ``limit`` bytes of text, or one row if that has more."""
     for batch in batches:
@@ -63,6 +78,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = PIECE_
             to = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
             yield batch.slice(at, to - at), raw[off[at]:off[to]], off[at:to + 1] - off[at]
             at = to
+    _give_back()
 
 
 def deflated(col: pa.Array) -> pa.Array:

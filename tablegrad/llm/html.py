@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import gbt
-from .common import column, pieces
+from .common import column, hash_share, pieces
 
 #: Bound on the pages that the trees learn from.
 MAX_PAGES = 1500
@@ -342,9 +342,10 @@ def train(pages: DataFrame, url_col: str = "url", html_col: str = "html", max_pa
                 x, y = np.concatenate(xs), np.concatenate(ys)
                 yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int64)), *map(pa.array, x.T.astype(float))], ["y", *names])
 
-    sample = pages.where(F.length(html_col) > 0).select(
-        F.col(html_col).alias("_html"), F.pmod(F.xxhash64(url_col, html_col), F.lit(60)).cast("int").alias("_k"),
-        F.xxhash64(url_col, html_col).alias("_o")).orderBy("_o").limit(max_pages).select("_html", "_k")
+    some = pages.where(F.length(html_col) > 0)
+    rows = some.select(F.col(html_col).alias("_html"), F.xxhash64(url_col, html_col).alias("_o")) \
+        .where(hash_share(F.col("_o"), some.count(), max_pages)).groupBy("_o").agg(F.first("_html").alias("_html"))  # equal pages once
+    sample = rows.orderBy("_o").limit(max_pages).select("_html", F.pmod("_o", F.lit(60)).cast("int").alias("_k"))
     got = sample.repartition(16).mapInArrow(run, "y bigint, " + ", ".join(f"{c} double" for c in names)).toArrow()
     x = np.stack([got[c].to_numpy() for c in names], 1) if len(got) else np.zeros((0, len(names)))
     y = got["y"].to_numpy().astype(float) if len(got) else np.zeros(0)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import gbt
 from . import textops as T
-from .common import column, ints, pieces
+from .common import column, hash_share, ints, pieces
 
 #: Bound on the labelled rows of each role.
 MAX_ROWS = 12_000
@@ -141,7 +141,8 @@ class Model:
 
 def _sample(docs: DataFrame, labels: DataFrame, folds: tuple[int, ...], id_col: str, text_col: str, label_col: str) -> DataFrame:
     """(y, _text) of at most MAX_ROWS labelled documents; the ids are bounded, so they go to the scan."""
-    ids = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & fold(id_col).isin(*folds)) \
+    own = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & fold(id_col).isin(*folds))
+    ids = own.where(hash_share(F.col(id_col), own.count(), MAX_ROWS)) \
         .groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("y")).orderBy(F.xxhash64(id_col), id_col).limit(MAX_ROWS)
     return docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(ids), id_col).select("y", "_text")
 
