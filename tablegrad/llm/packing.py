@@ -31,7 +31,7 @@ from .common import column, pieces
 CAPACITY = 4096
 END_ID = 2
 #: Units that a Python worker's cache may hold (about 40 bytes each).
-CACHE = 2_000_000
+CACHE = 1_000_000
 #: Open windows a task holds before it merges them (their ids are held too: 16 kB each at most).
 MAX_OPEN = 1024
 OUT_BYTES = 4 << 20
@@ -62,12 +62,12 @@ class WordTokens:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
-        self.whole = Tokenizer.from_file(path)
+        self.path, self.whole = path, None  # the tokenizer as it is, loaded when a word needs it
         self.single = Tokenizer.from_file(path)
         self.single.normalizer = None
         self.single.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.whole.get_vocab()
+        vocab = self.single.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.key, self.begin, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
@@ -106,19 +106,25 @@ class WordTokens:
         end[final] = we[of[final]]
         return low, start, end, wrow[of], whole[of]
 
+    def _encode(self, data: bytes, start: list[int], end: list[int], which: np.ndarray) -> np.ndarray:
+        text = b" ".join([data[start[i]:end[i]] for i in which]).decode()
+        return np.array(self.single.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
     def _learn(self, data: bytes, start: list[int], end: list[int], whole: np.ndarray, key: np.ndarray) -> None:
         size = np.zeros(len(key), np.int64)
         found: list[np.ndarray] = []
         plain, odd = np.flatnonzero(~whole), np.flatnonzero(whole)
         if len(plain):
-            text = b" ".join([data[start[i]:end[i]] for i in plain]).decode()
-            ids = np.array(self.single.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ids = np.concatenate([self._encode(data, start, end, plain[i:i + 8192]) for i in range(0, len(plain), 8192)])
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(plain):
                 raise ValueError("the tokenizer doesn't end words as expected")
             size[plain] = np.diff(np.r_[0, ends])
             found.append(ids)
         if len(odd):
+            if self.whole is None:
+                from tokenizers import Tokenizer
+                self.whole = Tokenizer.from_file(self.path)
             got = self.whole.encode_batch_fast([data[start[i]:end[i]].decode() for i in odd], add_special_tokens=False)
             size[odd] = [len(e.ids) for e in got]
             found.append(np.array([x for e in got for x in e.ids], np.uint32))
