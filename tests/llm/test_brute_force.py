@@ -390,6 +390,21 @@ def test_op10_near_passages_and_edges(spark):
     assert passages.repeated_passages(df.limit(0)).count() == 0
 
 
+def test_op10_common_headers(spark):
+    """Groups of equal passages that begin with a header; documents of smaller ids have the header without the passage."""
+    header = [f"h{i}" for i in range(44)]
+    texts = {i: header + [f"o{i}_{j}" for j in range(30)] for i in range(40)}
+    group = {100 + 10 * g + i: g for g in range(6) for i in range(10)}
+    texts |= {d: [f"b{d}_{j}" for j in range(20)] + header + [f"p{g}_{j}" for j in range(8)] + [f"e{d}_{j}" for j in range(20)] for d, g in group.items()}
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id bigint, text string")
+    got = collections.defaultdict(set)
+    for r in passages.repeated_passages(df.repartition(3)).collect():
+        got[r.doc_id].add((r.passage_id, r.start_word, r.end_word))
+    assert set(got) == set(group)
+    assert all(len(got[d]) == 1 and next(iter(got[d]))[1:] == (20, 72) for d in group)
+    assert len({(g, next(iter(got[d]))[0]) for d, g in group.items()}) == len({next(iter(got[d]))[0] for d in group}) == 6
+
+
 def test_pipeline_against_plain_python(spark, con, texts):
     import corpus_pipeline
     import numpy as np
