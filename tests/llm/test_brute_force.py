@@ -405,6 +405,17 @@ def test_op10_common_headers(spark):
     assert len({(g, next(iter(got[d]))[0]) for d, g in group.items()}) == len({next(iter(got[d]))[0] for d in group}) == 6
 
 
+def test_op10_recall_of_changed_words(spark):
+    n, texts = 600, {}
+    for i in range(n):
+        passage = [f"r{i}_{j}" for j in range(54)]
+        texts[2 * i] = passage
+        texts[2 * i + 1] = passage[:10 + i % 34] + ["zz"] + passage[11 + i % 34:]
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id bigint, text string")
+    got = {r.doc_id: r.passage_id for r in passages.repeated_passages(df).collect()}
+    assert [i for i in range(n) if got.get(2 * i) is None or got.get(2 * i) != got.get(2 * i + 1)] == []
+
+
 def test_pipeline_against_plain_python(spark, con, texts):
     import corpus_pipeline
     import numpy as np
