@@ -1,15 +1,16 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 Words are runs of ASCII letters, digits and non-ASCII bytes, with A-Z as a-z, so punctuation and layout don't matter. A
-seed is a window of ``SPAN`` words hashed through a fixed mask that ignores some positions; with several masks a
-substituted word leaves seeds around and across it. The benchmark's seeds fill a Bloom filter of fixed size that goes to
+seed is a window of words hashed through a fixed mask that ignores some positions. The masks are chosen by enumeration:
+every stretch of ``LEAST`` words or more (or whole item of ``SPAN`` to ``LEAST``) with a share of ``SHARE`` equal words
+holds a seed of one of them, wherever the other words lie (a longer stretch has a block of 13 to 25 words with that share).
+Items of fewer than ``SPAN`` words must be there whole and unchanged: their seed is the whole item. The benchmark's seeds fill a Bloom filter of fixed size that goes to
 the scan of the training text; text around seeds that may match is kept as word hashes, and Spark joins the seeds
 exactly, by hash. Every hit names an alignment (item, document, shift), which is verified once, word by word: the
 longest stretch in which at least ``share`` of the words agree must have ``least`` words (or the whole item, if it is
 shorter).
 
-Defined results: null or empty texts and items match nothing, nor do items of fewer than ``SPAN`` words (too short to
-tell a leak from chance); equal items are reported each; repeated rows give a row each only if their ids differ; empty
+Defined results: null or empty texts and items match nothing; equal items are reported each; repeated rows give a row each only if their ids differ; empty
 tables give no rows; other columns are never read. Words are compared by 64-bit hashes.
 """
 
@@ -27,26 +28,29 @@ from . import textops as T
 from .common import checkpointed, column, ints, list_array, pieces
 
 #: Fixed masks: 1 compares a word, 0 ignores it.
-MASKS = ("1101101101", "1110010111", "1011011101")
+MASKS = ("1111011", "1110100011", "10011111", "1101000111", "11101101", "111111")
+#: Items of fewer words are matched exactly.
 SPAN = 10
 LEAST = 13
 SHARE = 0.8
 
 
-def seeds(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the first word, hash) of every masked window that lies in one text."""
-    if len(h) < SPAN:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.flatnonzero(row[:len(row) - SPAN + 1] == row[SPAN - 1:])
-    out = []
-    for i, m in enumerate(MASKS):
-        acc = np.full(len(h) - SPAN + 1, T.U64(i + 1))
+def seeds(h: np.ndarray, row: np.ndarray, short: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the first word, hash) of every masked window that lies in one text, and of all windows of ``short`` words."""
+    places, out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for i, m in [*enumerate(MASKS), *((len(MASKS) + n, "1" * n) for n in short)]:
+        n = len(h) - len(m) + 1
+        if n < 1:
+            continue
+        at = np.flatnonzero(row[:n] == row[len(m) - 1:])
+        acc = np.full(n, T.U64(i + 1))
         for j, c in enumerate(m):
             if c == "1":
                 acc *= T.U64(0x9E3779B97F4A7C15)
-                acc += h[j:len(h) - SPAN + 1 + j]
+                acc += h[j:n + j]
+        places.append(at)
         out.append(T.mix(acc[at]))
-    return np.tile(at, len(MASKS)), np.concatenate(out)
+    return np.concatenate(places), np.concatenate(out)
 
 
 def _words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -55,14 +59,14 @@ def _words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def benchmark_words(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, words): the word hashes of each item of SPAN words or more."""
+    """(item, words): the word hashes of each item that has words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, off in pieces(batches, "_text"):
             row, h = _words(raw, off)
             n = np.bincount(row, minlength=rows.num_rows)
             out = pa.RecordBatch.from_arrays([column(rows, "_id"), list_array(T.signed(h), n)], ["item", "words"])
-            yield out.filter(pa.array(n >= SPAN))
+            yield out.filter(pa.array(n > 0))
 
     kind = items.schema[id_col].dataType.simpleString()
     return items.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"item {kind}, words array<bigint>")
@@ -76,8 +80,9 @@ def _lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat, np.repeat(np.arange(len(col)), np.diff(off)), off
 
 
-def list_seeds(df: DataFrame, keys: list[str], words_col: str = "words") -> DataFrame:
-    """(keys, pos, seed) of the seeds of word lists; ``pos`` is relative to the list."""
+def list_seeds(df: DataFrame, keys: list[str], short: tuple[int, ...], items: bool = False, words_col: str = "words") -> DataFrame:
+    """(keys, pos, seed) of the seeds of word lists; ``pos`` is relative to the list. Of ``items``, those of fewer than
+    SPAN words have the seed of the whole item alone, and the others have none of ``short`` words."""
     schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +90,19 @@ def list_seeds(df: DataFrame, keys: list[str], words_col: str = "words") -> Data
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
                 flat, row, off = _lists(column(part, words_col))
-                at, s = seeds(flat.view(np.uint64), row)
+                h, n = flat.view(np.uint64), np.diff(off)
+                if items:
+                    at, s = seeds(h, row)
+                    long = n[row[at]] >= SPAN
+                    found = [(at[long], s[long])]
+                    for k in short:
+                        one = n[row] == k
+                        a, s = seeds(h[one], row[one], (k,))
+                        whole = len(a) - int((n == k).sum())  # the windows of k words come last, one an item
+                        found.append((np.flatnonzero(one)[a[whole:]], s[whole:]))
+                    at, s = (np.concatenate(x) for x in zip(*found))
+                else:
+                    at, s = seeds(h, row, short)
                 take = pa.array(row[at])
                 yield pa.RecordBatch.from_arrays([*(column(part, c).take(take) for c in keys), pa.array((at - off[row[at]]).astype(np.int64)),
                                                   pa.array(T.signed(s))], [*keys, "pos", "seed"])
@@ -93,7 +110,7 @@ def list_seeds(df: DataFrame, keys: list[str], words_col: str = "words") -> Data
     return df.select(*keys, words_col).mapInArrow(run, f"{schema}, pos bigint, seed bigint")
 
 
-def _segments(docs: DataFrame, filter_: bloom.Bloom, reach: int) -> DataFrame:
+def _segments(docs: DataFrame, filter_: bloom.Bloom, reach: int, short: tuple[int, ...]) -> DataFrame:
     """(doc, first, words): stretches of word hashes ``reach`` words around seeds that the filter lets through."""
     kind = docs.schema["_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(filter_)
@@ -101,7 +118,7 @@ def _segments(docs: DataFrame, filter_: bloom.Bloom, reach: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, off in pieces(batches, "_text"):
             row, h = _words(raw, off)
-            at, s = seeds(h, row)
+            at, s = seeds(h, row, short)
             hit = np.unique(at[shared.value.test(T.signed(s))])
             if not len(hit):
                 continue
@@ -148,11 +165,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     Columns: the ids, doc_start, doc_end, item_start, item_end (words, ends exclusive) and n_equal.
     """
     bench = checkpointed(benchmark_words(items, item_col, item_text_col))
-    bench_seeds = checkpointed(list_seeds(bench, ["item"]).withColumnRenamed("pos", "item_pos"))
+    short = tuple(sorted(r[0] for r in bench.select(F.size("words")).where(F.size("words") < SPAN).distinct().collect()))
+    bench_seeds = checkpointed(list_seeds(bench, ["item"], short, items=True).withColumnRenamed("pos", "item_pos"))
     reach = bench.agg(F.max(F.size("words"))).first()[0] or 0
     x = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    segments = checkpointed(_segments(x, bloom.build(bench_seeds, "seed"), int(reach)).distinct())
-    hits = list_seeds(segments, ["doc", "first"]).join(bench_seeds, "seed")
+    segments = checkpointed(_segments(x, bloom.build(bench_seeds, "seed"), int(reach), short).distinct())
+    hits = list_seeds(segments, ["doc", "first"], short).join(bench_seeds, "seed")
     shifts = hits.select("doc", "first", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     both = shifts.join(segments, ["doc", "first"]).join(bench.withColumnRenamed("words", "item_words"), "item")
     kinds = {c: both.schema[c].dataType.simpleString() for c in ("doc", "item")}
@@ -168,7 +186,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                 if z <= a:
                     continue
                 same = d[a + s:z + s] == i[a:z]
-                lo, hi = longest_stretch(same, share)
+                lo, hi = longest_stretch(same, share if len(i) >= SPAN else 1.0)
                 if hi - lo >= min(least, len(i)):
                     rows.append((r, first + a + s + lo, first + a + s + hi, a + lo, a + hi, int(same[lo:hi].sum())))
             cols = np.array(rows, np.int64).reshape(-1, 6).T

@@ -182,6 +182,34 @@ def test_op4_substitutions_and_edges(spark):
     assert decontam.contamination(docs.limit(0), items).count() == 0 and decontam.contamination(docs, items.limit(0)).count() == 0
 
 
+def test_op4_masks_reach_the_tolerance():
+    import itertools
+    import numpy as np
+    for n in range(decontam.SPAN, 2 * decontam.LEAST):  # longer stretches have a block of 13 to 25 words with the share
+        whole = n < decontam.LEAST  # such an item has to be there from end to end
+        inner = range(1, n - 1) if whole else range(n)
+        kept = np.array([(1 << n) - 1 - sum(1 << i for i in c) for c in itertools.combinations(inner, n // 5)])
+        hit = np.zeros(len(kept), bool)
+        for m in decontam.MASKS:
+            for shift in range(n - len(m) + 1):
+                q = int(m, 2) << shift
+                hit |= kept & q == q
+        assert hit.all(), n
+
+
+def test_op4_every_fifth_word_and_short_items(spark):
+    item = [f"k{i}" for i in range(59)]
+    fifth = [w if i % 5 else f"z{i}" for i, w in enumerate(item, 1)]
+    tight = [w if i % 4 != 3 else f"y{i}" for i, w in enumerate(item[:15])]
+    short = ["one", "two", "three", "four"]
+    docs = spark.createDataFrame([(1, "a b " + " ".join(fifth) + " c"), (2, " ".join(["p", *tight, "q"])), (3, "x One two, three four y"),
+                                  (4, "one two zzz four"), (5, "one two three"), (6, "Solo"), (7, "four one two three")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short)), (3, "solo"), (4, " ".join(item[:15]))], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): (r.doc_start, r.doc_end, r.n_equal) for r in decontam.contamination(docs, items).collect()}
+    assert got == {(1, 1): (2, 61, 48), (1, 4): (2, 16, 12), (2, 1): (1, 16, 12), (2, 4): (1, 16, 12), (3, 2): (1, 5, 4), (6, 3): (0, 1, 1)}
+    assert sorted(r.doc_id for r in decontam.clean(docs, items).collect()) == [4, 5, 7]
+
+
 def test_op5_base_and_model(spark, texts):
     got = {r.doc_id: r for r in rows_of(spark, "op5_lm_scoring")}
     out = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
