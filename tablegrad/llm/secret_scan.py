@@ -4,8 +4,8 @@ Two first-order models over ``[A-Za-z0-9+/_=-]`` tell random strings from ordina
 are the values that the fixed patterns find (label 1) and the other tokens of the corpus (label 0; long ones with digits and
 letters, which the model is to judge, are neither): every task counts
 character transitions of all its texts in two small matrices, Spark sums the matrices, and the driver sees at most
-2 x 66 x 66 sums whatever the size of the corpus. A second scan finds the patterns again and scores each long token
-with a digit and a letter; its span is added as kind ``markov`` where no fixed pattern covers it.
+2 x 66 x 66 sums whatever the size of the corpus. A second scan finds the patterns again and scores every token of
+``MIN_TOKEN`` characters or more, letters alone included, against a threshold that falls with its length; its span is added as kind ``markov`` where no fixed pattern covers it.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned each; an empty table trains on the
 prior alone (random: uniform; ordinary: letters follow letters) and gives no rows; other columns are never read.
@@ -36,12 +36,15 @@ K = len(ALPHABET) + 1  # 0 is the edge of a token
 CODE = np.zeros(256, np.uint16)
 for _i, _c in enumerate(ALPHABET):
     CODE[ord(_c)] = _i + 1
-MIN_TOKEN = 16
+MIN_TOKEN = 12
 IN_TOKEN = CODE > 0
 IN_HEX = np.zeros(256, bool)
 IN_HEX[[ord(c) for c in "0123456789abcdef"]] = True
-#: Mean log-likelihood ratio a character (natural logarithm) from which a token counts as random.
-THRESHOLD = 0.75
+#: Mean log-likelihood ratio a character (natural logarithm) from which a token of FULL characters or more counts as
+#: random; a shorter one needs STEP more for each character that it lacks.
+THRESHOLD, FULL, STEP = 0.75, 16, 0.05
+#: Rules and fillers ("-----") have fewer different characters; random strings of MIN_TOKEN hardly ever do.
+DISTINCT = 5
 
 
 def _order(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -91,7 +94,7 @@ def found(texts: list[str | None], raw: np.ndarray, off: np.ndarray) -> tuple[di
 
 
 def _mixed(token: str) -> bool:
-    """A long token that the model judges: one with a digit and a letter."""
+    """A long token that is a sample of neither kind: one with a digit and a letter."""
     return any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
 
 
@@ -161,17 +164,22 @@ def score(token: str, table: np.ndarray) -> float:
     return float(table[np.r_[0, c[:-1]], c].mean()) if len(c) else 0.0
 
 
+def is_random(token: str, table: np.ndarray, threshold: float = THRESHOLD) -> bool:
+    """What the models say of a token of MIN_TOKEN characters or more; one in capitals is as ordinary as its small letters."""
+    seen = score(token.lower(), table) if token.isupper() and token.isalpha() else score(token, table)
+    return seen >= threshold + STEP * max(0, FULL - len(token)) and len(set(token)) >= DISTINCT
+
+
 def piece_spans(texts: list[str | None], raw: np.ndarray, off: np.ndarray, table: np.ndarray,
                 threshold: float = THRESHOLD) -> dict[int, list[tuple[str, int, int]]]:
     """All spans, base ones and the model's, of the rows that have any."""
     spans, _, (sep, begin, cp) = found(texts, raw, off)
     start, end = T.long_runs(IN_TOKEN[sep], MIN_TOKEN)
     for a, b in zip(start.tolist(), end.tolist()):
-        token = sep[a:b].tobytes().decode()
-        if _mixed(token):
+        if is_random(sep[a:b].tobytes().decode(), table, threshold):
             r = int(np.searchsorted(begin, a, "right")) - 1
             x, y = int(cp[a] - cp[begin[r]]), int(cp[b] - cp[begin[r]])
-            if not any(s < y and x < e for _, s, e in spans.get(r, ())) and score(token, table) >= threshold:
+            if not any(s < y and x < e for _, s, e in spans.get(r, ())):
                 spans[r] = _order([*spans.get(r, ()), ("markov", x, y)])
     return spans
 

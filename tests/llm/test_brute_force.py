@@ -310,6 +310,16 @@ def test_op7_model_and_edges(spark):
     assert secret_scan.scan(df.limit(0), table).count() == 0 and secret_scan.train(df.limit(0)).shape == table.shape
 
 
+def test_op7_short_and_letter_only_tokens(spark, texts):
+    table = secret_scan.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    random = ["kqzvwxjrbtpmhfgd", "xVqTzKbWpLmRgHjN", "q7Zr2Xv9Kp4W", "Zk3vQ8xT1mB7y", "WXQZKVJPRTGB"]
+    plain = ["internationalization", "telecommunications", "responsibilities", "straightforwardly", "RESPONSIBILITIES", "-" * 20, "self-consciousness"]
+    df = spark.createDataFrame([(i, f"see {w} here", 0) for i, w in enumerate(random + plain)], "doc_id bigint, text string, n_chars int")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secret_scan.scan(df, table).collect()}
+    assert got == {i: [("markov", 4, 4 + len(w))] if w in random else [] for i, w in enumerate(random + plain)}
+    assert all(r.text == "see [SECRET] here" for r in secret_scan.redact(df, table).collect() if r.doc_id < len(random))
+
+
 def test_op8_oracle(spark, con):
     from tablegrad.plans.verify import _rows
     got = catalog.QUERIES["op8_quality"](spark, SF)
