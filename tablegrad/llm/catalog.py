@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html, jaccard, maxent, packing, passages, quality, secret_scan, toxicity
+from . import bpe, chat, decontam, hard_negatives, html, importance, jaccard, maxent, packing, passages, quality, secret_scan, toxicity
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -97,6 +97,40 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH usable AS (
+  SELECT vec_id, row_number() OVER () AS r, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.vec_id, b.label = a.label AS same, b.r, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT ar, vec_id AS positive_id, r AS pr, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) <= 5)
+SELECT s.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.ar = p.ar AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+WINDOW w AS (PARTITION BY s.ar, pr ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 5"""
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir).drop("ids")
@@ -104,5 +138,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"pipeline": pipeline, "op1_html": op1_html, "op2_toxicity": op2_toxicity, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_decontamination": op4_decontamination,
            "op5_lm_scoring": op5_lm_scoring, "op6_packing": op6_packing, "op7_secrets": op7_secrets, "op8_quality": op8_quality, "op9_chat": op9_chat,
-           "op10_passages": op10_passages}
-ORACLES = {"op8_quality": OP8_SQL}
+           "op10_passages": op10_passages, "op11_importance": op11_importance, "op12_hard_negatives": op12_hard_negatives, "op13_bpe": op13_bpe}
+ORACLES = {"op8_quality": OP8_SQL, "op12_hard_negatives": OP12_SQL}
