@@ -1,10 +1,11 @@
 """Byte-level BPE over a whole corpus: each distinct pre-token of the corpus is encoded once.
 
-Encoding is one shuffle of distinct words and one of positions. A scan cuts the texts into pre-tokens and packs chunks of
-some megabytes: a chunk has a list of its distinct words, numbered, and each document of it is the numbers of its words by
-position. The words (one row a chunk and word, so a word that is everywhere has at most one row a chunk) meet all equal
-words in one shuffle, where each distinct one is encoded once; its ids are joined back to the chunks that have it, and the
-documents are reassembled by position. Decoding joins ids with the token-byte table, which has the vocabulary's size.
+A scan cuts the texts into pre-tokens and packs chunks of some megabytes: a chunk has the list of its distinct words,
+numbered, and each of its documents is the numbers of its words by position. The lists are cut into classes by a hash of the
+word and meet the lists of all other chunks in one shuffle (a word that is everywhere is once in the list of each chunk),
+where each distinct word is encoded once; the ids are joined back to their chunks by a second shuffle, and the documents are
+reassembled by position. What is shuffled is compressed by its distribution: frequent words are small numbers, and a word
+that occurs once in a chunk takes one byte. Decoding joins ids with the token-byte table, which has the vocabulary's size.
 
 Pre-tokens are found with numpy over code points: the pattern's runs of letters, numbers, other characters and white space
 are cut where the class changes, a single space goes to the run after it, and contractions are cut at their apostrophe. The
@@ -18,6 +19,7 @@ of strings sees them. A single text longer than a chunk is a chunk of its own.
 from __future__ import annotations
 
 import base64
+import itertools
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,14 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import checkpointed, column, ints, pieces
+from .common import checkpointed, column, pieces
 
 #: Bytes of text of one chunk: its distinct words are shuffled once, its documents by position.
-CHUNK = 8 << 20
+CHUNK = 16 << 20
 #: Bytes of text of one numpy step.
 STEP = 1 << 19
 #: Bytes of ids or texts of one Arrow batch that goes back to Spark.
 OUT = 4 << 20
+#: Distinct words that one task keeps with their ids.
+CACHE = 1_000_000
 LETTER, NUMBER, OTHER, BLANK = range(4)
 
 
@@ -137,55 +141,165 @@ def _valid(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
 
 
-def _chunks(kind: str, limit: int):
-    """A map from (_id, _text) to one row a distinct word of a chunk (word) and one a document (codes: uint32 bytes)."""
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    first = np.cumsum(size) - size
+    return np.arange(int(size.sum())) + np.repeat(begin - first, size)
+
+
+def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, where each value's begin and the end): seven bits a byte, low ones first, the high bit set before the last."""
+    v = values.astype(np.uint64)
+    size = 1 + sum((v >= np.uint64(1 << 7 * k)).astype(np.int64) for k in range(1, 6))
+    off = np.r_[0, np.cumsum(size)]
+    out = np.empty(int(off[-1]), np.uint8)
+    for k in range(int(size.max()) if len(v) else 0):
+        has = np.flatnonzero(size > k)
+        out[off[has] + k] = ((v[has] >> np.uint64(7 * k)) & np.uint64(127)) | (size[has] > k + 1).astype(np.uint64) << np.uint64(7)
+    return out, off
+
+
+def unvarints(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    if not len(raw):
+        return np.zeros(0, np.int64)
+    last = np.flatnonzero(raw < 128)
+    first = np.r_[0, last[:-1] + 1]
+    place = np.arange(len(raw)) - np.repeat(first, last + 1 - first)
+    return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), first)
+
+
+def deflate(data: bytes, level: int = 6) -> bytes:
+    """Zstandard of ``data`` after its length in eight bytes."""
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(data, asbytes=True)
+
+
+def inflate(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
+def _binaries(data: np.ndarray, off: np.ndarray) -> pa.Array:
+    """A binary column from all bytes and the offsets of its rows."""
+    off = off.astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(off) - 1, [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+
+
+class Chunk:
+    """The pre-tokens of some megabytes of documents as numbers of distinct words.
+
+    Words that occur twice or more are numbered by falling frequency from 0, all others by first occurrence after them. The
+    stream has number + 1 of a repeated word and 0 for the next of the others, in seven-bit bytes.
+    """
+
+    def __init__(self):
+        self.bytes, self.keys, self.codes, self.many, self.words, self.sizes = 0, [], [], [], [], []
+        self.ids, self.counts = [], []
+
+    def add(self, ids: pa.Array, raw: np.ndarray, off: np.ndarray) -> None:
+        start, end, counts = spans(raw, off)
+        key, first, code, many = np.unique(T.span_hashes(raw, start, end), return_index=True, return_inverse=True, return_counts=True)
+        size = end[first] - start[first]
+        self.bytes += len(raw)
+        self.words.append(raw[_ranges(start[first], size)])
+        for out, x in ((self.keys, key), (self.codes, code.astype(np.uint32)), (self.many, many), (self.sizes, size), (self.ids, ids), (self.counts, counts)):
+            out.append(x)
+
+    def rows(self, chunk: int, classes_of: int) -> Iterator[tuple]:
+        """A row (chunk, 0, class, numbers, sizes, words, None) for each class of words, then one of all documents: (chunk, 1, -1,
+        how many words are repeated and the counts of the documents, None, stream, ids)."""
+        size, words = np.concatenate(self.sizes), np.concatenate(self.words)
+        begin = np.cumsum(size) - size
+        key, first, back = np.unique(np.concatenate(self.keys), return_index=True, return_inverse=True)
+        many = np.bincount(back, weights=np.concatenate(self.many), minlength=len(key)).astype(np.int64)
+        again = np.flatnonzero(many > 1)
+        number = np.full(len(key), -1)
+        number[again[np.argsort(-many[again], kind="stable")]] = np.arange(len(again))
+        stream, pieces_at, singles = [], np.cumsum([0, *map(len, self.keys)]), 0
+        for code, at in zip(self.codes, pieces_at):
+            word = back[at + code.astype(np.int64)]
+            new = word[many[word] == 1]
+            number[new] = len(again) + singles + np.arange(len(new))
+            singles += len(new)
+            stream.append(varints(np.where(many[word] == 1, 0, number[word] + 1))[0].tobytes())
+        # Distinct words by class and number.
+        kind = (key >> np.uint64(20)).astype(np.int64) % classes_of
+        order = np.lexsort((number, kind))
+        kind, num, at = kind[order], number[order], first[order]
+        edge = np.flatnonzero(np.r_[True, kind[1:] != kind[:-1]]) if len(kind) else np.zeros(0, np.int64)
+        step = np.diff(np.r_[0, num])
+        step[edge] = num[edge]
+        ends = np.r_[edge, len(kind)]
+        steps, step_at = varints(step)
+        lens, len_at = varints(size[at])
+        text = words[_ranges(begin[at], size[at])].tobytes()
+        text_at = np.r_[0, np.cumsum(size[at])]
+        steps, lens = steps.tobytes(), lens.tobytes()
+        for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            yield (chunk, 0, int(kind[i]), deflate(steps[step_at[i]:step_at[j]]), deflate(lens[len_at[i]:len_at[j]]),
+                   deflate(text[text_at[i]:text_at[j]]), None)
+        head = varints(np.r_[len(again), np.concatenate(self.counts)])[0].tobytes()
+        yield chunk, 1, -1, deflate(head), None, deflate(b"".join(stream), 9), pa.chunked_array(self.ids).to_pylist()
+
+
+def _chunks(kind: str, limit: int, classes_of: int):
+    """A map from (_id, _text) to the rows of chunks of about ``limit`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 24
-        ids, keys, counts, words, held = [], [], [], {}, 0
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            key = np.concatenate(keys)
-            known, code = np.unique(key, return_inverse=True)
-            code = code.astype("<u4")
-            many = known.tolist()
-            for i in range(0, len(many), 20_000):
-                part = many[i:i + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), chunk)), pa.array(np.arange(i, i + len(part), dtype=np.int64)),
-                     pa.array([words[k] for k in part], pa.binary()), pa.nulls(len(part), ids[0].type)], names)
-            each = np.cumsum(np.r_[0, np.concatenate(counts)])
-            which, at = pa.chunked_array(ids).combine_chunks(), 0
-            while at < len(which):
-                to = max(at + 1, int(np.searchsorted(each, each[at] + OUT // 4, "right")) - 1)
-                data = code[each[at]:each[to]].tobytes()
-                offsets = (4 * (each[at:to + 1] - each[at])).astype(np.int64)
-                codes = pa.LargeBinaryArray.from_buffers(pa.large_binary(), to - at, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(to - at, chunk)), pa.array(np.full(to - at, -1)), codes.cast(pa.binary()),
-                                                  which.slice(at, to - at)], names)
-                at = to
+        number, chunk, id_type = TaskContext.get().partitionId() << 24, Chunk(), None
 
+        def out() -> Iterator[pa.RecordBatch]:
+            rows = chunk.rows(number, classes_of)
+            while part := list(itertools.islice(rows, 64)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), types)], names)
+
+        types: list[pa.DataType] = []
         for part, raw, off in pieces(batches, "_text", STEP):
+            id_type = column(part, "_id").type
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(id_type)]
             raw, off = _valid(raw, off)
-            if held and held + len(raw) > limit:
-                yield from rows()
-                ids, keys, counts, words, held = [], [], [], {}, 0
-                chunk += 1
-            start, end, n = spans(raw, off)
-            key = T.span_hashes(raw, start, end)
-            new, first = np.unique(key, return_index=True)
-            data = raw.tobytes()
-            for k, s, e in zip(new.tolist(), start[first].tolist(), end[first].tolist()):
-                if k not in words:
-                    words[k] = data[s:e]
-            held += len(raw)
-            ids.append(column(part, "_id"))
-            keys.append(key)
-            counts.append(n)
-        if ids:
-            yield from rows()
-
-    names = ["chunk", "code", "data", "_id"]
-    return run, f"chunk bigint, code bigint, data binary, _id {kind}"
+            if chunk.bytes and chunk.bytes + len(raw) > limit:
+                yield from out()
+                number, chunk = number + 1, Chunk()
+            chunk.add(column(part, "_id"), raw, off)
+        if chunk.ids:
+            yield from out()
+
+    names = ["chunk", "kind", "class", "numbers", "sizes", "data", "ids"]
+    return run, f"chunk bigint, kind int, class int, numbers binary, sizes binary, data binary, ids array<{kind}>"
+
+
+def encode_words(words: DataFrame, path: str) -> DataFrame:
+    """Rows of distinct words of chunks with ``sizes`` and ``data`` of their ids instead.
+
+    One shuffle brings all lists of a class of words together, where each distinct word is encoded once and found again by
+    its bytes (a class of more than CACHE words begins anew, so memory is bounded).
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, now, known = encoding_of(path), None, {}
+        dtype = _id_type(path)
+        for b in batches:
+            sizes, data = [], []
+            for kind, lens, text in zip(column(b, "class").to_pylist(), column(b, "sizes").to_pylist(), column(b, "data").to_pylist()):
+                if kind != now or len(known) > CACHE:
+                    now, known = kind, {}
+                at = np.r_[0, np.cumsum(unvarints(inflate(lens)))].tolist()
+                text = inflate(text)
+                out = []
+                for i, j in zip(at, at[1:]):
+                    word = text[i:j]
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = np.array(bpe._encode_single_piece(word), dtype).tobytes()
+                    out.append(ids)
+                sizes.append(deflate(varints(np.array([len(x) // dtype.itemsize for x in out], np.int64))[0].tobytes()))
+                data.append(deflate(b"".join(out)))
+            yield pa.RecordBatch.from_arrays([column(b, "chunk"), column(b, "numbers"), pa.array(sizes, pa.binary()), pa.array(data, pa.binary())],
+                                             ["chunk", "numbers", "sizes", "data"])
+
+    return words.repartition("class").sortWithinPartitions("class").mapInArrow(run, "chunk bigint, numbers binary, sizes binary, data binary")
+
+
+def _id_type(path: str) -> np.dtype:
+    """Two bytes an id where the vocabulary allows it."""
+    return np.dtype("<u2" if max(ranks_of(path).values()) < 1 << 16 else "<u4")
 
 
 def _binary_parts(col: pa.Array) -> tuple[bytes, np.ndarray]:
@@ -196,68 +310,43 @@ def _binary_parts(col: pa.Array) -> tuple[bytes, np.ndarray]:
     return (memoryview(data)[off[0]:off[-1]] if data is not None else b""), off - off[0]
 
 
-def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    first = np.cumsum(size) - size
-    return np.arange(int(size.sum())) + np.repeat(begin - first, size)
-
-
 def _gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, code: np.ndarray, each: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """The values of all codes by document: (from, to, values, offsets), some megabytes at a time. ``each``: where each
     document's codes begin, then the end."""
     done = np.r_[0, np.cumsum(size[code])][each]
     at = 0
     while at < len(each) - 1:
-        to = max(at + 1, int(np.searchsorted(done, done[at] + OUT // flat.itemsize, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(done, done[at] + OUT // 4, "right")) - 1)
         part = code[each[at]:each[to]]
         yield at, to, flat[_ranges(begin[part], size[part])], done[at:to + 1] - done[at]
         at = to
 
 
-def _bytes_array(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    offsets = (offsets * values.itemsize).astype(np.int64)
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1,
-                                            [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
-
-
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(chunk, code, word) as (chunk, code, ids): one shuffle brings equal words together, where each is encoded once."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, last, of_last = encoding_of(path), None, b""
-        for b in batches:
-            word = column(b, "word").dictionary_encode()
-            distinct = word.dictionary.to_pylist()
-            out = [of_last if w == last else np.array(bpe._encode_single_piece(w), "<u4").tobytes() for w in distinct]
-            if distinct:
-                last, of_last = distinct[-1], out[-1]
-            yield pa.RecordBatch.from_arrays([column(b, "chunk"), column(b, "code"), pa.array(out, pa.binary()).take(word.indices)],
-                                             ["chunk", "code", "data"])
-
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, "chunk bigint, code bigint, data binary")
-
-
-def _reassemble(kind: str):
-    """A map from rows in the order (chunk, code), words' ids before documents, to (_id, ids)."""
+def _reassemble(kind: str, dtype: np.dtype):
+    """A map from rows in the order (chunk, kind), words' ids before documents, to (_id, ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, flat, begin, size = None, [], None, []
-        table = np.zeros(0, "<u4")
+        chunk, held, table = None, [], None
         for b in batches:
-            ch, code = ints(b, "chunk"), ints(b, "code")
-            edges = np.flatnonzero((np.diff(ch) != 0) | ((code[1:] < 0) != (code[:-1] < 0))) + 1
-            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), b.num_rows]):
-                data, off = _binary_parts(column(b, "data").slice(i, j - i))
-                if ch[i] != chunk:
-                    chunk, flat, size, begin = ch[i], [], [], None
-                if code[i] >= 0:
-                    flat.append(np.frombuffer(data, "<u4").copy())
-                    size.append(np.diff(off) // 4)
+            cols = [column(b, c).to_pylist() for c in ("chunk", "kind", "numbers", "sizes", "data")]
+            ids = column(b, "ids")
+            for i, (ch, what, numbers, sizes, data) in enumerate(zip(*cols)):
+                if ch != chunk:
+                    chunk, held, table = ch, [], None
+                if what == 0:
+                    held.append((np.cumsum(unvarints(inflate(numbers))), unvarints(inflate(sizes)), np.frombuffer(inflate(data), dtype)))
                     continue
-                if begin is None:
-                    table = np.concatenate([np.zeros(0, "<u4"), *flat])
-                    size = [np.concatenate([np.zeros(0, np.int64), *size])]
-                    begin, flat = np.cumsum(size[0]) - size[0], []
-                ids = column(b, "_id").slice(i, j - i)
-                for x, y, values, offsets in _gathered(table, begin, size[0], np.frombuffer(data, "<u4"), off // 4):
-                    yield pa.RecordBatch.from_arrays([ids.slice(x, y - x), _bytes_array(values, offsets)], ["_id", "ids"])
+                if table is None:
+                    number, size, flat = (np.concatenate(x) for x in zip((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, dtype)), *held))
+                    begin, of = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+                    begin[number], of[number] = np.cumsum(size) - size, size
+                    table, held = (flat.astype("<u4"), begin, of), []
+                repeated, *counts = unvarints(inflate(numbers)).tolist()
+                code = unvarints(inflate(data))
+                new = code == 0
+                code = np.where(new, repeated - 1 + np.cumsum(new), code - 1)
+                names = ids.slice(i, 1).flatten()
+                for x, y, values, off in _gathered(*table, code, np.cumsum([0, *counts])):
+                    yield pa.RecordBatch.from_arrays([names.slice(x, y - x), _binaries(values.view(np.uint8), 4 * off)], ["_id", "ids"])
 
     return run, f"_id {kind}, ids binary"
 
@@ -267,15 +356,13 @@ def encode(docs: DataFrame, ranks: str | None = None, id_col: str = "doc_id", te
     """id and ``ids`` (little-endian uint32 bytes) of every document, equal to the tokenizer's own ids of the whole text."""
     path = ranks or default_ranks()
     kind = docs.schema[id_col].dataType.simpleString()
-    run, schema = _chunks(kind, chunk)
+    run, schema = _chunks(kind, chunk, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = checkpointed(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, schema))
-    words = rows.where("code >= 0").select("chunk", "code", F.col("data").alias("word"))
-    ids = encode_words(words, path).withColumn("_id", F.lit(None).cast(kind))
-    last = (1 << 62) - 1  # documents come after all words of their chunk
-    order = F.when(F.col("code") < 0, last).otherwise(F.col("code"))
-    both = ids.unionByName(rows.where("code < 0")).repartition("chunk").sortWithinPartitions("chunk", order)
-    run, schema = _reassemble(kind)
-    return both.select("chunk", "code", "data", "_id").mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    ids = encode_words(rows.where("kind = 0").select("chunk", "class", "numbers", "sizes", "data"), path)
+    both = ids.withColumns({"kind": F.lit(0), "ids": F.lit(None).cast(f"array<{kind}>")}).unionByName(rows.where("kind = 1").drop("class"))
+    run, schema = _reassemble(kind, _id_type(path))
+    return both.repartition("chunk").sortWithinPartitions("chunk", "kind").select(
+        "chunk", "kind", "numbers", "sizes", "data", "ids").mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
 @lru_cache(maxsize=2)
@@ -305,7 +392,7 @@ def decode(encoded: DataFrame, ranks: str | None = None, id_col: str = "doc_id",
             if len(code) and (int(code.max()) >= len(size) or (size[code] < 0).any()):
                 raise ValueError("an id is outside the vocabulary")
             for x, y, values, offsets in _gathered(flat, begin, size, code, off // 4):
-                yield pa.RecordBatch.from_arrays([column(b, "_id").slice(x, y - x), ids.slice(x, y - x), _bytes_array(values, offsets)],
+                yield pa.RecordBatch.from_arrays([column(b, "_id").slice(x, y - x), ids.slice(x, y - x), _binaries(values, offsets)],
                                                  ["_id", "ids", "decoded"])
 
     return encoded.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("ids")).mapInArrow(
