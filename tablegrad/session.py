@@ -79,3 +79,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint directory for tables a job writes and reads back."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table that a job wrote to the shared folder and no plan reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
