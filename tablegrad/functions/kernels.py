@@ -95,6 +95,11 @@ def out_softmax_backward(y: np.ndarray, g: np.ndarray) -> np.ndarray:
 
 def backward(tape, grad_out: np.ndarray) -> list[np.ndarray]:
     """Gradients of every parameter, in registration order."""
+    return backward_through(tape, grad_out)[0]
+
+
+def backward_through(tape, grad_out: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Gradients of every parameter, in registration order, and of the input."""
     grads = []
     g = grad_out
     for entry in reversed(tape):
@@ -127,7 +132,7 @@ def backward(tape, grad_out: np.ndarray) -> list[np.ndarray]:
                 g = inv / m * (m * gx - gx.sum(axis=0) - xhat * (gx * xhat).sum(axis=0))
             else:
                 g = gx * inv
-    return grads[::-1]
+    return grads[::-1], g
 
 
 def batch_gradient(x, y, layers, params, loss: str, weights: np.ndarray, reduction: str = "elements",

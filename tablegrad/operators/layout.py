@@ -113,10 +113,15 @@ def inverse_axes(axes: Sequence[int]) -> list[int]:
 
 
 def checked(value: Column, condition: Column, message: str) -> Column:
-    """``value``, failing the job where ``condition`` doesn't hold. The check is part of the value, so it isn't pruned."""
+    """``value``, failing the job where ``condition`` doesn't hold. The check is part of the value: it is made where that is used."""
     return F.when(F.assert_true(F.coalesce(condition, F.lit(False)), F.lit(message)).isNull(), value)
 
 
+def guarded(df: DataFrame, condition: Column, message: str) -> DataFrame:
+    """``df``, failing the job where ``condition`` doesn't hold, whichever columns are read and also when rows are only counted."""
+    return df.where(checked(F.lit(True), condition, message))
+
+
 def stack_rows(dfs: Sequence[DataFrame], rows_each: int, width: int, id_col: str = "row_id",
                vec_col: str = "vec") -> DataFrame:
     """Stack K tensors of shape [rows_each, width] (row ids 0..rows_each-1) along a new leading axis.
@@ -129,9 +134,8 @@ def stack_rows(dfs: Sequence[DataFrame], rows_each: int, width: int, id_col: str
     u = None
     for k, d in enumerate(dfs):
         inside = (col(id_col) >= 0) & (col(id_col) < rows_each)
-        p = d.select(F.lit(k).cast("int").alias("rank"),
-                     checked(F.lit(k * rows_each).cast("bigint") + col(id_col), inside, "stack: row id outside the shape").alias(id_col),
-                     checked(col(vec_col), F.size(vec_col) == width, "stack: shapes differ").alias(vec_col))
+        fits = guarded(guarded(d, inside, "stack: row id outside the shape"), F.size(vec_col) == width, "stack: shapes differ")
+        p = fits.select(F.lit(k).cast("int").alias("rank"), (F.lit(k * rows_each).cast("bigint") + col(id_col)).alias(id_col), col(vec_col).alias(vec_col))
         u = p if u is None else u.unionByName(p)
     return u
 
@@ -143,9 +147,9 @@ def take_rows(rows: DataFrame, index: DataFrame, id_col: str = "row_id", out_col
     An index without a row fails the job. The join strategy is left to the optimizer.
     """
     idx = index.select(F.col(out_col).alias("_out"), F.col(src_col).alias("_src"))
-    j = idx.join(rows, F.col("_src") == rows[id_col], "left")
-    out = checked(F.col("_out"), F.col(id_col).isNotNull(), "take_rows: index out of range")
-    return j.select(out.alias(id_col), *[c for c in rows.columns if c != id_col])
+    there = rows.withColumn("_there", F.lit(True))
+    j = guarded(idx.join(there, F.col("_src") == there[id_col], "left"), F.col("_there"), "take_rows: index out of range")
+    return j.select(F.col("_out").alias(id_col), *[c for c in rows.columns if c != id_col])
 
 
 def shape_check(df: DataFrame, vec_col: str, expected: int, key_cols: Sequence[str]) -> DataFrame:

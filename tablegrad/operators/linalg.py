@@ -19,9 +19,7 @@ from pyspark.sql import types as T
 
 from tablegrad.functions.arrow import column, list_to_matrix, matrix_to_list
 from tablegrad.functions.columns import arr_dot, col, size_guard, vec_matmul
-from tablegrad.operators.layout import checked
-
-
+from tablegrad.operators.layout import checked, guarded
 
 
 def rows_times_small(rows: DataFrame, w: np.ndarray, b: np.ndarray | None = None, vec_col: str = "vec",
@@ -63,18 +61,22 @@ def matvec(a, v: np.ndarray):
 
 
 def cells_matmul(a: DataFrame, b: DataFrame, a_keys=("i", "k"), b_keys=("k", "j"), v: str = "v",
-                 out: str = "v") -> DataFrame:
+                 out: str = "v", size: int | None = None) -> DataFrame:
     """General ``A · B`` over dense cell tables: join on the contraction index, sum products per output cell.
 
-    An index that only one side has means that the shapes don't fit, and fails the job. The partial aggregate after
-    the join collapses products before the final shuffle.
+    An index that only one side has means that the shapes don't fit, and fails the job, as does an output cell that is the
+    sum of fewer (or more) products than the contraction axis is long: a cell is missing or there twice. ``size`` is that
+    length; where it isn't given, the distinct indices of the left side are counted. The partial aggregate after the
+    join collapses products before the final shuffle. ``operators.tiles`` has the form for large matrices.
     """
     ai, ak = a_keys
     bk, bj = b_keys
     left = a.select(F.col(ai).alias("_i"), F.col(ak).alias("_k"), F.col(v).alias("_a"))
     right = b.select(F.col(bk).alias("_k"), F.col(bj).alias("_j"), F.col(v).alias("_b"))
     product = _product(F.col("_i").isNotNull() & F.col("_j").isNotNull())
-    return (left.join(right, "_k", "full_outer").groupBy("_i", "_j").agg(F.sum(product).alias(out))
+    length = F.lit(size) if size is not None else left.agg(F.count_distinct("_k")).scalar()
+    sums = left.join(right, "_k", "full_outer").groupBy("_i", "_j").agg(F.sum(product).alias(out), F.count("*").alias("_n"))
+    return (guarded(sums, F.col("_n") == length, "matmul: a cell is missing or there twice").drop("_n")
             .withColumnRenamed("_i", ai).withColumnRenamed("_j", bj))
 
 

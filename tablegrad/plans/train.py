@@ -65,6 +65,7 @@ class TrainConfig:
     lr: float = 0.01
     clip: float | None = None
     barrier: bool = False
+    batch_norm: str = "gathered"         # 'gathered': a mini-batch meets in one task | 'merged': its statistics do (train_bn)
     adam: dict = field(default_factory=dict)
 
 
@@ -110,9 +111,11 @@ def _out_width(layers) -> int:
     raise ValueError("model has no sized layer")
 
 
-def _packet_kernel(bc, layers, cfg: TrainConfig, n_buckets: int):
+def _packet_kernel(bc, layers, cfg: TrainConfig, n_buckets: int, gradient=None, extra: tuple = ()):
+    """``gradient(x, y, params, weights, known) -> (gradients, row losses)`` replaces the usual backward pass; ``known`` has the
+    matrices of the ``extra`` array columns of the same rows."""
     k_norm = k_norm_of(layers, cfg)
-    has_bn = has_batch_norm(layers)
+    has_bn = has_batch_norm(layers) and gradient is None
 
     def weights_for(bsize, nb, batch_id):
         if cfg.normalize == "samples":
@@ -133,11 +136,14 @@ def _packet_kernel(bc, layers, cfg: TrainConfig, n_buckets: int):
         stats: dict[int, list] = {}  # batch-norm layer -> [sum of batch means, sum of batch variances, batches]
         seen = 0
 
-        def run(x, y, part, bid, bsize, nb):
+        def run(x, y, part, bid, bsize, nb, **known):
             nonlocal seen
             seen += len(x)
             w = weights_for(bsize, nb, bid)
-            grads, row_loss = kernels.batch_gradient(x, y, layers, params, cfg.loss, w, cfg.reduction, stats=stats)
+            if gradient is not None:
+                grads, row_loss = gradient(x, y, params, w, known)
+            else:
+                grads, row_loss = kernels.batch_gradient(x, y, layers, params, cfg.loss, w, cfg.reduction, stats=stats)
             for a, g in zip(acc, grads):
                 a += g
             uk, inv = np.unique(np.stack([part.astype(np.int64), bid.astype(np.int64)], 1), axis=0, return_inverse=True)
@@ -156,7 +162,7 @@ def _packet_kernel(bc, layers, cfg: TrainConfig, n_buckets: int):
                         part=column(batch, "part").to_numpy(), bid=column(batch, "batch_id").to_numpy(),
                         bsize=column(batch, "bsize").to_numpy(), nb=column(batch, "nbatches").to_numpy())
             if not has_bn:
-                run(**cols)
+                run(**cols, **{c: list_to_matrix(column(batch, c)) for c in extra})
                 continue
             # batch norm needs whole mini-batches: rows arrive ordered by (part, id), so batches are contiguous
             if pending is not None:
@@ -199,13 +205,13 @@ def array_sum_agg(c: str):
     return F.aggregate(lst, zero, lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
 
 
-def packets(samples: DataFrame, layers, params: list[np.ndarray], cfg: TrainConfig) -> DataFrame:
+def packets(samples: DataFrame, layers, params: list[np.ndarray], cfg: TrainConfig, gradient=None, extra: tuple = ()) -> DataFrame:
     spark = samples.sparkSession
     if isinstance(cfg.loss, str) and cfg.loss not in ("cross_entropy", "mse"):
         raise ValueError(f"unknown loss {cfg.loss}")
     bc = spark.sparkContext.broadcast([np.asarray(p, dtype=np.float64) for p in params])
     n_buckets = max(1, math.ceil(math.sqrt(int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    kernel = _packet_kernel(bc, layers, cfg, n_buckets)
+    kernel = _packet_kernel(bc, layers, cfg, n_buckets, gradient, extra)
     out = samples.mapInArrow(kernel, PACKET_SCHEMA, barrier=cfg.barrier)
     out._tablegrad_broadcast = bc  # keep a handle so the caller can unpersist it
     return out
@@ -304,11 +310,15 @@ def train_with_buffers(spark: SparkSession, df: DataFrame, id_col: str, features
     Each global step moves the running statistics by the layer's momentum towards the mean of its batch statistics.
     """
     opt = make_optimizer(cfg)
-    samples = prepare_samples(df, id_col, features, target, cfg, has_batch_norm(layers))
+    if cfg.batch_norm not in ("gathered", "merged"):
+        raise ValueError(f"unknown batch norm mode {cfg.batch_norm}")
+    merged = has_batch_norm(layers) and cfg.batch_norm == "merged"
+    gathered = has_batch_norm(layers) and not merged
+    samples = prepare_samples(df, id_col, features, target, cfg, gathered)
     path = scratch_path(spark, f"samples-{uuid.uuid4().hex}")
     samples.write.parquet(path)  # every step reads this table; nothing is cached on executors
     samples = spark.read.schema(samples.schema).parquet(path)
-    if has_batch_norm(layers):
+    if gathered:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         samples = samples.repartition(n, "part", "batch_id").sortWithinPartitions("part", "batch_id", "id")
     k_norm = k_norm_of(layers, cfg)
@@ -320,7 +330,11 @@ def train_with_buffers(spark: SparkSession, df: DataFrame, id_col: str, features
             t0 = time.time()
             own = samples.where(F.col("batch_id") % cfg.steps_per_epoch == step) if cfg.steps_per_epoch > 1 else samples
             pk_path = scratch_path(spark, f"packets-{uuid.uuid4().hex}")
-            pk = packets(own, layers, params, cfg)
+            if merged:
+                from tablegrad.plans.train_bn import merged_packets
+                pk = merged_packets(own, layers, params, cfg)
+            else:
+                pk = packets(own, layers, params, cfg)
             pk.write.parquet(pk_path)
             pk._tablegrad_broadcast.unpersist(blocking=True)
             pk = spark.read.schema(PACKET_SCHEMA).parquet(pk_path)

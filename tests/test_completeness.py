@@ -22,16 +22,33 @@ def cells(spark, data, names):
 def test_take_rows_out_of_range(spark):
     r = rows(spark, [[1, 2], [3, 4]])
     assert layout.take_rows(r, spark.createDataFrame([(0, 1), (1, 1)], "out_row bigint, src_row bigint")).count() == 2
-    fails(layout.take_rows(r, spark.createDataFrame([(0, 1), (1, 2)], "out_row bigint, src_row bigint")))
+    beyond = layout.take_rows(r, spark.createDataFrame([(0, 1), (1, 2)], "out_row bigint, src_row bigint"))
+    for df in (beyond, beyond.select("vec"), beyond.select("row_id"), beyond.agg(F.count("*"))):
+        fails(df)
+    with pytest.raises(Exception):
+        beyond.count()
 
 
 def test_stack_rows_checks_shapes(spark):
     a = rows(spark, [[1, 2], [3, 4]])
     assert layout.stack_rows([a, a], 2, 2).count() == 4
+    for bad in (rows(spark, [[1, 2], [3, 4, 5]]), a.withColumn("row_id", F.col("row_id") + 1)):
+        whole = layout.stack_rows([a, bad], 2, 2)
+        for df in (whole, whole.select("row_id"), whole.select("vec"), whole.select("rank"), whole.agg(F.count("*"))):
+            fails(df)
     fails(layout.stack_rows([a, rows(spark, [[1], [2]])], 2, 2))
     fails(layout.stack_rows([a, a], 1, 2))
 
 
+def test_a_missing_cell_fails_the_product(spark):
+    b = cells(spark, [(0, 0, 1.0), (1, 0, 1.0)], ["k", "j"])
+    whole = [(0, 0, 1.0), (0, 1, 5.0), (1, 0, 2.0), (1, 1, 3.0)]
+    assert sorted(r.v for r in linalg.cells_matmul(cells(spark, whole, ["i", "k"]), b).collect()) == [5.0, 6.0]
+    for bad in (whole[:1] + whole[2:], [*whole, (1, 1, 3.0)]):
+        for size in (None, 2):
+            fails(linalg.cells_matmul(cells(spark, bad, ["i", "k"]), b, size=size))
+
+
 def test_broadcast_and_cell_shapes(spark):
     a = rows(spark, [[1, 2], [3, 4]])
     fails(elementwise.col_broadcast(a, spark.createDataFrame([(0, 1.0)], "row_id bigint, c double"), "sub"))
