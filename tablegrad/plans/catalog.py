@@ -266,7 +266,7 @@ def q_fill_like(spark, d):
     return _li_ew(spark, d, elementwise.fill_like("vec", 0.5))
 
 
-from tablegrad.plans import catalog_io, catalog_more, catalog_train, catalog_graph  # noqa: E402,F401  (register the remaining queries)
+from tablegrad.plans import catalog_graph, catalog_io, catalog_more, catalog_train  # noqa: E402,F401  (register the remaining queries)
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:

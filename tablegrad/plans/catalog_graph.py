@@ -11,12 +11,9 @@ from tablegrad.operators.graph import Graph
 from tablegrad.plans import data as D
 from tablegrad.plans import sqlparts as S
 from tablegrad.plans import train as TR
-from tablegrad.plans import train_blocks as TB
 from tablegrad.plans import train_bn as BN
 from tablegrad.plans import train_local as TL
 from tablegrad.plans.catalog import register, weight_cells
-from tablegrad.plans.catalog_more import TRAIN_MLP_SQL, emb_cells
-from tablegrad.plans.catalog_train import MLP_LAYERS, emb_samples, mlp_params
 
 G = 9
 
@@ -98,9 +95,8 @@ def q_grad_seed(spark, d):
 
 # ================================================================ large matrices
 def emb_tiles(spark, d, size: int = 32):
-    rows = D.emb_rows(spark, d)
-    m = rows.agg(F.max("row_id")).first()[0]
-    return tiles.from_cells(emb_cells(spark, d, "i", "j"), 0 if m is None else m + 1, 64, size)
+    cells = D.emb_rows(spark, d).select(F.col("row_id").alias("i"), F.posexplode("vec").alias("j", "v"))
+    return tiles.from_cells(cells, id_range(spark, d), 64, size)
 
 
 @register("matmul_tiles", S.with_(S.EMB, "g AS (SELECT a.j AS k, b.j, sum(a.x * b.x) AS w FROM emb a JOIN emb b ON a.row_id = b.row_id GROUP BY a.j, b.j)")
@@ -214,14 +210,6 @@ def q_train_local_steps(spark, d):
     return nn.params_to_table(spark, LINE, params).withColumn("value", C.tidy("value", 9))
 
 
-@register("train_blocks", TRAIN_MLP_SQL)
-def q_train_blocks(spark, d):
-    """The two steps of train_mlp_params with parameters, activations and gradients as tables of 32 x 32 tiles."""
-    start = nn.params_to_table(spark, MLP_LAYERS, mlp_params())
-    params, _ = TB.train_blocks(spark, emb_samples(spark, d), "row_id", "features", "target", MLP_LAYERS, start, TB.BlockConfig(steps=2, lr=0.5, size=32))
-    return params.withColumn("value", C.tidy("value", 9))
-
-
 class Momentum:
     """A user's optimizer: heavy ball, v = 0.9 v + g, p = p - lr v."""
 

@@ -233,6 +233,16 @@ def q_train_mlp_params(spark, d):
     return nn.params_to_table(spark, MLP_LAYERS, params).withColumn("value", C.tidy("value", 9))
 
 
+@register("train_blocks", TRAIN_MLP_SQL)
+def q_train_blocks(spark, d):
+    """The same two steps with parameters, activations and gradients as tables of 32 x 32 tiles."""
+    from tablegrad.plans import train_blocks as TB
+    from tablegrad.plans.catalog_train import MLP_LAYERS, emb_samples, mlp_params
+    start = nn.params_to_table(spark, MLP_LAYERS, mlp_params())
+    params, _ = TB.train_blocks(spark, emb_samples(spark, d), "row_id", "features", "target", MLP_LAYERS, start, TB.BlockConfig(steps=2, lr=0.5, size=32))
+    return params.withColumn("value", C.tidy("value", 9))
+
+
 # ================================================================ model and sample files
 @register("model_roundtrip", S.with_(S.EMB, "c AS (SELECT j, avg(x) AS m FROM emb GROUP BY j)")
           + f"SELECT 0 AS param_id, '0.weight' AS name, CAST(j AS BIGINT) AS pos, {S.r('m', G)} AS value FROM c "
