@@ -1,8 +1,8 @@
 """Toxicity scores: gradient-boosted trees over dense text features, with isotonic calibration.
 
-Labelled rows outside the held-out fold are dealt into three roles by the fold of their id: one finds words that a good
-part of the toxic documents share (they join the fixed word list), one fits the trees, one calibrates. Each role uses at
-most ``MAX_ROWS`` rows, those with the smallest id hashes, so the driver holds a bounded sample however many labels there
+Labelled rows outside the held-out fold have three roles by the fold of their id. Folds 1 to 3 give words that tell toxic
+documents from others by their smoothed log-odds, however few documents a language has (they join the fixed word list). Folds 2
+and 3 fit the trees, each by words learned without it; fold 4 calibrates. Each role uses at most ``MAX_ROWS`` rows, those with the smallest id hashes, so the driver holds a bounded sample however many labels there
 are. Scoring is one map over the scan: no shuffle, whole texts, memory bounded by one piece.
 
 Labels, language, source and id are never inputs of a score. Defined results: a null or empty text has the features of
@@ -26,7 +26,9 @@ from .common import column, hash_share, ints, pieces
 #: Bound on the labelled rows of each role.
 MAX_ROWS = 12_000
 #: Fold of an id: crc32 of its text modulo 5; 0 is held out.
-FOLDS = {"words": (1,), "trees": (2, 3), "calibration": (4,)}
+FOLDS = {"words": (1, 2, 3), "trees": (2, 3), "calibration": (4,)}
+#: Folds whose words a row's features use: a text that fits trees is never one that its words were learned from.
+WORDS_FROM = {2: (1, 3), 3: (1, 2)}
 
 # Fixed word lists: common insults and vulgarities, and words that address the reader.
 INSULTS = ("idiot idiots moron morons stupid scum trash clown loser losers disgusting worthless pathetic dumb garbage filth filthy "
@@ -35,8 +37,9 @@ INSULTS = ("idiot idiots moron morons stupid scum trash clown loser losers disgu
            "dummkopf abschaum müll arschloch scheiße wertlos").split()
 YOU = "you your yours yourself youre u ur tu tú te ti usted vous toi votre vos du dich dir dein deine ihr euch".split()
 NEAR = 5
-#: A learned word occurs in at least this share of the toxic rows, and this many times more often there.
-SHARE, RATIO, MAX_WORDS = 0.08, 6.0, 256
+#: A learned word occurs in at least so many toxic texts, its odds there are so many times those elsewhere, and the logarithm of
+#: that ratio is so many standard errors above 0.
+LEAST, RATIO, ERRORS = 3, 6.0, 2.5
 
 _LEET_DELIM = T.NOT_LETTER.copy()
 _LEET = T.LOWER.copy()
@@ -140,46 +143,58 @@ class Model:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, folds: tuple[int, ...], id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(y, _text) of at most MAX_ROWS labelled documents; the ids are bounded, so they go to the scan."""
+    """(y, _fold, _text) of at most MAX_ROWS labelled documents; the ids are bounded, so they go to the scan."""
     own = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & fold(id_col).isin(*folds))
     ids = own.where(hash_share(F.col(id_col), own.count(), MAX_ROWS)) \
         .groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("y")).orderBy(F.xxhash64(id_col), id_col).limit(MAX_ROWS)
-    return docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(ids), id_col).select("y", "_text")
+    return docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(ids), id_col).select("y", fold(id_col).cast("int").alias("_fold"), "_text")
 
 
-def _learn_words(rows: DataFrame) -> np.ndarray:
-    """Hashes of words that SHARE of the toxic rows have, RATIO times more often than the others."""
+def _learn_words(rows: DataFrame, subsets: list[tuple[int, ...]]) -> list[np.ndarray]:
+    """For each set of folds, hashes of the words that tell its toxic texts from its others (LEAST, RATIO, ERRORS)."""
+    folds = sorted({f for s in subsets for f in s})
+    names = [f"{c}{f}" for f in folds for c in ("pos", "neg")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw, off in pieces(batches, "_text"):
-            y = ints(part, "y")
+            kind = 2 * np.searchsorted(folds, ints(part, "_fold")) + 1 - ints(part, "y")  # a column of ``names``
             _, _, row, h = T.word_hashes(raw, off, T.NOT_LETTER, T.LOWER)
             row, h = T.distinct(row, h)
             u, at = np.unique(h, return_inverse=True)
-            pos = np.bincount(at, y[row], len(u)).astype(np.int64)
-            both = np.bincount(at, minlength=len(u))
-            yield pa.RecordBatch.from_arrays([pa.array(T.signed(u)), pa.array(pos), pa.array(both - pos), pa.array(np.zeros(len(u), np.int64))],
-                                             ["h", "pos", "neg", "n"])
-            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([int(y.sum())]), pa.array([int((1 - y).sum())]), pa.array([1])],
-                                             ["h", "pos", "neg", "n"])
-
-    each = rows.mapInArrow(run, "h bigint, pos bigint, neg bigint, n bigint")
-    found = each.groupBy("h", "n").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    size = found.where("n = 1").first()
-    if size is None or size["pos"] < 10 or size["neg"] < 10:
-        return np.zeros(0, np.uint64)
-    p, q = size["pos"], size["neg"]
-    often = found.where((F.col("n") == 0) & (F.col("pos") >= max(5, SHARE * p)) & (F.col("pos") * q >= RATIO * p * (F.col("neg") + 1)))
-    got = often.orderBy(F.desc("pos"), "h").limit(MAX_WORDS).toArrow()
-    return np.sort(np.ascontiguousarray(got["h"].to_numpy()).view(np.uint64))
-
+            counts = np.bincount(at * len(names) + kind[row], minlength=len(u) * len(names)).reshape(-1, len(names))
+            texts = np.bincount(kind, minlength=len(names))[None, :]  # one more row: all texts
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[T.signed(u), 0]), pa.array(np.r_[np.zeros(len(u), np.int64), 1]), *map(pa.array, np.r_[counts, texts].T)],
+                                             ["h", "n", *names])
 
-def _rows(sample: DataFrame, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of a bounded sample, in an order that doesn't depend on partitions."""
+    each = rows.mapInArrow(run, "h bigint, n bigint, " + ", ".join(f"{c} bigint" for c in names))
+    found = each.groupBy("h", "n").agg(*(F.sum(c).alias(c) for c in names))
+    size = found.where("n = 1").first()
+    tells = []
+    for s in subsets:
+        total = {c: sum(size[f"{c}{f}"] for f in s) if size else 0 for c in ("pos", "neg")}
+        # Smoothed log-odds: no share of all toxic rows, and no cap on the words (the sample is bounded).
+        a, b = (sum(F.col(f"{c}{f}") for f in s) + 0.5 for c in ("pos", "neg"))
+        odds = F.log(a / (total["pos"] + 1.0 - a)) - F.log(b / (total["neg"] + 1.0 - b))
+        enough = F.lit(min(total.values()) >= 10)
+        tells.append(enough & (a >= LEAST + 0.5) & (odds >= float(np.log(RATIO))) & (odds >= ERRORS * F.sqrt(1 / a + 1 / b)))
+    any_, flags = tells[0], [f"s{i}" for i in range(len(subsets))]
+    for t in tells[1:]:
+        any_ = any_ | t
+    got = found.where((F.col("n") == 0) & any_).select("h", *(t.alias(c) for t, c in zip(tells, flags))).toArrow()
+    h = np.ascontiguousarray(got["h"].to_numpy()).view(np.uint64)
+    return [np.sort(h[got[c].to_numpy().astype(bool)]) for c in flags]
+
+
+def _rows(sample: DataFrame, learned: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Features (by the words for a row's fold) and labels of a bounded sample, in an order that doesn't depend on partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw, off in pieces(batches, "_text"):
-            x = features(raw, off, learned)
+            own = ints(part, "_fold")
+            x = np.zeros((part.num_rows, len(FEATURES)))
+            for f, words in learned.items():
+                if (own == f).any():
+                    x[own == f] = features(raw, off, words)[own == f]
             yield pa.RecordBatch.from_arrays([column(part, "y").cast(pa.int64()), *map(pa.array, x.T)], ["y", *FEATURES])
 
     got = sample.mapInArrow(run, "y bigint, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow()
@@ -191,9 +206,9 @@ def _rows(sample: DataFrame, learned: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     take = lambda role: _sample(docs, labels, FOLDS[role], id_col, text_col, label_col)
-    learned = _learn_words(take("words"))
-    trees = gbt.fit(*_rows(take("trees"), learned))
-    x, y = _rows(take("calibration"), learned)
+    *own, learned = _learn_words(take("words"), [*WORDS_FROM.values(), FOLDS["words"]])
+    trees = gbt.fit(*_rows(take("trees"), dict(zip(WORDS_FROM, own))))
+    x, y = _rows(take("calibration"), dict.fromkeys(FOLDS["calibration"], learned))
     return Model(learned, trees, gbt.isotonic(trees.margin(x), y))
 
 

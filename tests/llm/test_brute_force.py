@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import re
 import zlib
 from html import unescape
@@ -477,3 +478,18 @@ def test_pipeline_against_plain_python(spark, con, texts):
         ids = b"".join(bytes(p.ids) for p in sorted(ps, key=lambda p: p.start))
         want = np.array([*tok.encode(secret_scan.masked(t, s) if s else t, add_special_tokens=False).ids, 2], "<u4").tobytes()
         assert ids == want
+
+
+def test_op2_finds_toxic_documents_of_every_language(spark):
+    """Against the labels of the held-out fold, on a table with some of each language."""
+    from pyspark.sql import functions as F
+    sf = "/root/testdata/check_s"
+    if not os.path.isdir(sf):
+        pytest.skip("no larger tables here")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    got = catalog.op2_toxicity(spark, sf).where("held_out").join(labels, "doc_id").join(docs, "doc_id").groupBy("lang").agg(
+        F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))).alias("found"), F.avg(F.when(F.col("toxic") == 0, F.col("predicted"))).alias("wrong")).collect()
+    assert {r.lang for r in got} >= {"de", "en", "es", "fr"}
+    for r in got:
+        assert r.found >= 0.9 and r.wrong <= 0.05, r
