@@ -132,3 +132,68 @@ def num_batches(df: DataFrame, id_col: str, num_partitions: int, batch_size: int
 def partition_balance(df: DataFrame, id_col: str, num_partitions: int, part: str = "part") -> DataFrame:
     """Rows per partition under ``pmod(id, P)`` (the deterministic stand-in for round-robin repartition)."""
     return assign_partition(df, id_col, num_partitions, part).groupBy(part).agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- shuffling without a sort
+_M = 2147483647  # a prime; all products of two residues fit in 64 bits
+FEISTEL_ROUNDS = 4
+#: Steps of a cycle walk that a plan holds. A walk passes places from n to a * b - 1 alone, fewer than sqrt(n) + 1.
+WALKS = 64
+
+
+def _keys(seed: int, epoch: int) -> list[int]:
+    x = (seed * 1000003 + epoch) % _M
+    out = []
+    for _ in range(FEISTEL_ROUNDS):
+        x = (x * 48271 + 12345) % _M
+        out.append(x)
+    return out
+
+
+def _feistel(x, a: int, b: int, keys: list[int]):
+    """One pass of a keyed bijection on 0 to a * b - 1: the halves x div b and x mod b are shifted in turn by a hash of the other."""
+    left, right = F.floor(x / b), x % b  # exact: places are far below 2**53
+    for i, key in enumerate(keys):
+        y = ((right if i % 2 == 0 else left) + key) % _M
+        shift = (y * y % _M * 69621 + key) % _M  # the square keeps equal steps of one half from staying equal steps
+        if i % 2 == 0:
+            left = (left + shift) % a
+        else:
+            right = (right + shift) % b
+    return (left * b + right).cast("bigint")
+
+
+def shuffle_permutation(rank, n: int, seed: int, epoch: int = 0):
+    """The place of each of the dense ranks 0 to ``n`` - 1 in a keyed permutation, by arithmetic alone: no sort, no shuffle.
+
+    Feistel rounds permute a domain of a * b places with a = ceil(sqrt(n)), fewer than a more than there are ranks; a place
+    outside 0 to n - 1 goes through them again (cycle walking), which keeps the map a bijection. A rank outside 0 to n - 1
+    fails the job.
+    """
+    from math import ceil, isqrt
+
+    from tablegrad.operators.layout import checked
+    if not 0 <= n < 1 << 46:
+        raise ValueError("shuffle: between 0 and 2**46 rows")
+    a = max(1, isqrt(max(n - 1, 0)) + 1)
+    b, keys = max(1, ceil(n / a)), _keys(seed, epoch)
+    rank = F.col(rank) if isinstance(rank, str) else rank
+    first = _feistel(checked(rank.cast("bigint"), (rank >= 0) & (rank < n), "shuffle: a rank is outside the table"), a, b, keys)
+    if a * b == n:
+        return first
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), first, lambda x, _: F.when(x < n, x).otherwise(_feistel(x, a, b, keys)))
+    return checked(walk, walk < n, "shuffle: a cycle walk didn't end")
+
+
+def shuffled_batches(df: DataFrame, rank_col: str, n: int, num_partitions: int, batch_size: int, seed: int, epoch: int = 0) -> DataFrame:
+    """``df`` with dense ranks 0 to ``n`` - 1 as shuffled mini-batches: adds ``part``, ``row_in_part``, ``batch_id``, ``bsize`` and ``nbatches``.
+
+    A row's place says all of it: its part is the place modulo P, its number there the quotient. The plan is one projection.
+    """
+    place = shuffle_permutation(rank_col, n, seed, epoch)
+    rows = df.withColumn("_place", place).withColumn("part", (F.col("_place") % num_partitions).cast("int")) \
+        .withColumn("row_in_part", F.floor(F.col("_place") / num_partitions).cast("bigint")).drop("_place")
+    size = F.floor((F.lit(n) - 1 - F.col("part")) / num_partitions) + 1
+    batch = F.floor(F.col("row_in_part") / batch_size).cast("bigint")
+    return rows.withColumns({"batch_id": batch, "bsize": F.least(F.lit(batch_size), size - batch * batch_size).cast("int"),
+                             "nbatches": F.ceil(size / batch_size).cast("bigint")})

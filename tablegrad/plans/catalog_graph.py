@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gzip
+import uuid
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tablegrad.functions import columns as C
-from tablegrad.operators import activations, nn, packets, tiles
+from tablegrad.operators import activations, batching, nn, packets, tiles
 from tablegrad.operators.graph import Graph
 from tablegrad.plans import data as D
 from tablegrad.plans import sqlparts as S
@@ -14,6 +18,8 @@ from tablegrad.plans import train as TR
 from tablegrad.plans import train_bn as BN
 from tablegrad.plans import train_local as TL
 from tablegrad.plans.catalog import register, weight_cells
+from tablegrad.session import scratch_path
+from tablegrad.sources import idx, kv, ranges
 
 G = 9
 
@@ -159,6 +165,90 @@ def q_grad_tree_depth(spark, d):
     return union(out).select("depth", (F.col("block").cast("bigint") * 32 + F.col("at")).alias("pos"), "n", C.tidy("g", 8).alias("grad"))
 
 
+# ================================================================ shuffling by arithmetic
+def _permutation_sql(seed: int, epoch: int, walks: int = 4) -> str:
+    def passed(x):
+        """One pass of the Feistel rounds as nested SELECTs over a column x; n is the number of rows."""
+        q = f"SELECT r, n, a, b, {x} // b AS l, {x} % b AS h FROM w"
+        for i, key in enumerate(batching._keys(seed, epoch)):
+            of, at, size = ("h", "l", "a") if i % 2 == 0 else ("l", "h", "b")
+            shift = f"((({of} + {key}) % 2147483647) * (({of} + {key}) % 2147483647) % 2147483647 * 69621 + {key}) % 2147483647"
+            other = "h" if at == "l" else "l"
+            q = f"SELECT r, n, a, b, ({at} + {shift}) % {size} AS {at}, {other} FROM ({q})"
+        return f"SELECT r, n, a, b, l * b + h AS x FROM ({q})"
+    ctes = ["d AS (SELECT count(*)::BIGINT AS n, (floor(sqrt(count(*) - 1)) + 1)::BIGINT AS a FROM orders)",
+            "w0 AS (SELECT o_orderkey AS r, n, a, ceil(n / a)::BIGINT AS b, o_orderkey AS x FROM orders CROSS JOIN d)",
+            "w1 AS (" + passed("x").replace("FROM w", "FROM w0") + ")"]
+    for k in range(1, walks):
+        ctes.append(f"w{k + 1} AS (SELECT u.r, u.n, u.a, u.b, CASE WHEN u.x < u.n THEN u.x ELSE v.x END AS x FROM w{k} u JOIN ("
+                    + passed("x").replace("FROM w", f"FROM w{k}") + ") v ON u.r = v.r)")
+    return S.with_(*ctes) + (f"SELECT r AS id, x AS place, CAST(x % 8 AS INTEGER) AS part, x // 8 // 64 AS batch_id, "
+                             f"CAST(least(64, (n - 1 - x % 8) // 8 + 1 - x // 8 // 64 * 64) AS INTEGER) AS bsize FROM w{walks}")
+
+
+@register("shuffle_permutation", _permutation_sql(42, 1))
+def q_shuffle_permutation(spark, d):
+    """The shuffled batch of every order by arithmetic on its dense key: a plan without an exchange."""
+    o = D.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
+    n = o.count()
+    rows = batching.shuffled_batches(o.withColumn("place", batching.shuffle_permutation("id", n, 42, 1)), "id", n, 8, 64, 42, 1)
+    return rows.select("id", "place", "part", "batch_id", "bsize")
+
+
+# ================================================================ files by ranges, batches written once
+@register("loss_log_ranges", "SELECT CAST(user_id % 4 AS INTEGER) AS part, CAST(row_number() OVER (PARTITION BY "
+          f"user_id % 4 ORDER BY event_id) AS INTEGER) AS step, {S.r('abs(value)')} AS loss FROM events")
+def q_loss_log_ranges(spark, d):
+    """The events as UTF-16 log files, read again by byte ranges of 32 kB."""
+    from tablegrad.plans.catalog_io import loss_log_files
+    folder = scratch_path(spark, f"logs-{uuid.uuid4().hex}")
+    files = loss_log_files(spark, d).select(F.regexp_replace("path", ".*/", "").alias("path"), "content")
+    ranges.put_files(files, folder).write.format("noop").mode("overwrite").save()
+    c = ranges.curve(ranges.read_lines(spark, folder, "UTF-16", range_bytes=32 << 10))
+    return c.select("part", "step", C.tidy("loss").alias("loss"))
+
+
+@register("idx_ranges", "SELECT vec_id // 100 AS shard, vec_id % 100 AS idx, label, list_sum([CAST(least(greatest(floor(x * 255.0 + 128.0), 0), 255) AS BIGINT) "
+          "for x in list_transform(embedding, lambda y: y::DOUBLE)])::BIGINT AS total FROM embeddings")
+def q_idx_ranges(spark, d):
+    """Image and label files of 100 records (one shard in two unpacked), read by ranges of 10 records and as streams, and paired."""
+    byte = lambda x: F.least(F.greatest(F.floor(x * 255.0 + 128.0), F.lit(0)), F.lit(255)).cast("int")
+    rows = D.emb_rows(spark, d).select(F.floor(F.col("row_id") / 100).alias("shard"), (F.col("row_id") % 100).alias("idx"),
+                                       F.unhex(F.array_join(F.transform("vec", lambda x: F.lpad(F.hex(byte(x)), 2, "0")), "")).alias("pixels"), "label")
+    files = idx.idx_shard_files(rows, "shard", "idx", "pixels", "label", 8, 8)
+    folder = scratch_path(spark, f"idx-{uuid.uuid4().hex}")
+    ranges.put_files(unpacked(files), folder).write.format("noop").mode("overwrite").save()
+    paired = idx.pair_images_labels(ranges.read_idx(spark, folder, range_bytes=640))
+    total = F.aggregate(F.sequence(F.lit(1), F.length("pixels")), F.lit(0).cast("bigint"),
+                        lambda s, i: s + F.conv(F.hex(F.substring(F.col("pixels"), i, F.lit(1))), 16, 10).cast("bigint"))
+    return paired.select(F.col("shard").cast("bigint").alias("shard"), "idx", "label", total.alias("total"))
+
+
+def unpacked(files):
+    """The files of every second shard without gzip."""
+    def run(batches):
+        for b in batches:
+            names, data = b.column(0).to_pylist(), b.column(1).to_pylist()
+            plain = [int(n.split("-")[0]) % 2 == 0 for n in names]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n.removesuffix(".gz") if p else n for n, p in zip(names, plain)]), pa.array([gzip.decompress(x) if p else x for x, p in zip(data, plain)], pa.binary())],
+                names=["path", "content"])
+    return files.mapInArrow(run, "path string, content binary")
+
+
+@register("kv_batches", S.with_(S.EMB) + f"SELECT printf('train_%05d', row_id) AS row_key, label AS label_idx, {S.r('sum(x)')} AS total FROM emb GROUP BY row_id, label")
+def q_kv_batches(spark, d):
+    """Samples written in three numbered batches, the second of them by two runs: it is there once."""
+    from tablegrad.plans.catalog_io import kv_table
+    t, path = kv_table(spark, d), scratch_path(spark, f"kv-{uuid.uuid4().hex}")
+    third = F.pmod(F.xxhash64("row_key"), F.lit(3))
+    for batch in (0, 1, 1, 2):
+        kv.write_batch(t.where(third == batch), path, batch)
+    s = kv.scan_samples(kv.read_batches(spark, path))
+    total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
+    return s.select("row_key", C.argmax("target").alias("label_idx"), C.tidy(total).alias("total"))
+
+
 # ================================================================ training on orders
 ORDERS_SQL = ("x AS (SELECT o_orderkey AS id, o_totalprice / 100000.0 AS f0, (o_custkey % 100) / 100.0 AS f1, (o_orderkey % 7) / 7.0 AS f2, "
               "(o_custkey % 10) / 10.0 + o_totalprice / 200000.0 AS t, o_orderkey % 4 AS part FROM orders)")

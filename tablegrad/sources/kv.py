@@ -7,6 +7,8 @@ per key (union + ``max`` of the row by version), partly summed before one shuffl
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,5 +87,40 @@ def write(df: DataFrame, path: str, mode: str = "append") -> None:
     df.select("row_key", "image", "label").write.mode(mode).parquet(path)
 
 
+def write_batch(df: DataFrame, path: str, batch: int) -> bool:
+    """Write one numbered batch so that a job that runs again leaves it once. False: it was there already.
+
+    Rows go to a folder of this attempt; the manifest, one row a batch, names that folder and is written last. What an attempt
+    that died left behind is in no manifest, and readers never see it.
+    """
+    spark = df.sparkSession
+    if manifest(spark, path).where(F.col("batch") == batch).count():
+        return False
+    attempt = f"batch-{int(batch)}-{uuid.uuid4().hex}"
+    df.select("row_key", "image", "label").write.parquet(f"{path}/data/{attempt}")
+    row = spark.createDataFrame([(int(batch), attempt)], MANIFEST)
+    # One folder a batch: of two attempts that end together the later one's name replaces the earlier one's.
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/{int(batch)}")
+    return True
+
+
+MANIFEST = "batch bigint, folder string"
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(batch, folder) of every batch that was written whole."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [str(x.getPath()) for x in fs.listStatus(where) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(x.getPath(), "_SUCCESS"))] if fs.exists(where) else []
+    return spark.read.schema(MANIFEST).parquet(*done) if done else spark.createDataFrame([], MANIFEST)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all batches in the manifest (as many folder names come to the driver as there are batches)."""
+    folders = [f"{path}/data/{r['folder']}" for r in manifest(spark, path).collect()]
+    schema = "row_key string, image binary, label binary"
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("row_key string, image binary, label binary").parquet(path)
