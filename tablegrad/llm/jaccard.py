@@ -16,7 +16,7 @@
 
 Defined results: null, empty or blank texts have an empty set and link with nothing; a text of fewer than n words has
 its word sequence as its one shingle; equal texts are linked; repeated rows with one id count as one document and stay;
-an empty table gives no rows; other columns are never read. Shingles are compared by 64-bit hashes.
+a row without an id has its number of shingles, links with nothing, has no component, and is kept by ``one_of_each``; an empty table gives no rows; other columns are never read. Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -244,7 +244,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     spark = docs.sparkSession
     x = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
     first = checkpointed(_first_scan(x, rule))
-    info = first.where("block IS NULL").select("_id", "n_shingles", "s1", "s2")
+    every = first.where("block IS NULL").select("_id", "n_shingles", "s1", "s2")
+    x, info = x.where("_id IS NOT NULL"), every.where("_id IS NOT NULL")
     classes = spark.sparkContext.broadcast(_frequency_classes(first.where("block IS NOT NULL").select("block", "counts")))
 
     sets = info.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("_id").alias("rep"), F.count("*").alias("n"))
@@ -280,7 +281,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
 
     edges = member.select(F.col("_id").alias("a"), F.col("rep").alias("b"))
     comp = components(edges.unionByName(links) if links is not None else edges)
-    return info.join(comp.withColumnRenamed("node", "_id"), "_id", "left").select(
+    return every.join(comp.withColumnRenamed("node", "_id"), "_id", "left").select(
         F.col("_id").alias(id_col), "n_shingles", F.coalesce("component", "_id").alias("component_id"))
 
 

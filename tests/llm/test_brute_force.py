@@ -9,6 +9,7 @@ import zlib
 from html import unescape
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablegrad.llm import (bloom, catalog, chat, components, decontam, gbt, html, jaccard, maxent, packing, passages, quality,
                            secret_scan, toxicity)
@@ -482,7 +483,6 @@ def test_pipeline_against_plain_python(spark, con, texts):
 
 def test_op2_finds_toxic_documents_of_every_language(spark):
     """Against the labels of the held-out fold, on a table with some of each language."""
-    from pyspark.sql import functions as F
     sf = "/root/testdata/check_s"
     if not os.path.isdir(sf):
         pytest.skip("no larger tables here")
@@ -493,3 +493,22 @@ def test_op2_finds_toxic_documents_of_every_language(spark):
     assert {r.lang for r in got} >= {"de", "en", "es", "fr"}
     for r in got:
         assert r.found >= 0.9 and r.wrong <= 0.05, r
+
+
+def test_rows_without_an_id(spark):
+    """Near duplicates, decontamination, passages: what a null id means."""
+    a, b = " ".join(f"w{i}" for i in range(80)), " ".join(f"v{i}" for i in range(30))
+    data = [(None, a), (1, a), (2, a + " more"), (None, a), (None, b), (3, "x " + b), (None, None), (4, None), (None, "clean text here")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").withColumn("_name", F.lit("n"))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(None, 76, None), (1, 76, 1), (2, 77, 1), (None, 76, None), (None, 26, None), (3, 27, 3), (None, 0, None), (4, 0, 4), (None, 1, None)], key=str)
+    kept = [r.doc_id for r in jaccard.one_of_each(docs).collect()]
+    assert sorted(kept, key=str) == sorted([None] * 5 + [1, 3, 4], key=str)
+    items = spark.createDataFrame([(7, b), (None, a)], "item_id bigint, text string")
+    found = sorted(((r.doc_id, r.item_id) for r in decontam.contamination(docs, items).collect()), key=str)
+    assert found == sorted([(None, 7), (3, 7), (None, None), (1, None), (2, None)], key=str)
+    left = decontam.clean(docs, items)
+    assert left.columns == docs.columns and sorted((r.doc_id, r.text) for r in left.collect() if r.doc_id) == [(4, None)]
+    assert sorted(str(r.text) for r in left.collect() if r.doc_id is None) == ["None", "clean text here"]
+    spans = passages.repeated_passages(docs).collect()
+    assert {r.doc_id for r in spans} == {1, 2}
