@@ -10,7 +10,8 @@ exactly, by hash. Every hit names an alignment (item, document, shift), which is
 longest stretch in which at least ``share`` of the words agree must have ``least`` words (or the whole item, if it is
 shorter).
 
-Defined results: null or empty texts and items match nothing; equal items are reported each; repeated rows give a row each only if their ids differ; empty
+Defined results: null or empty texts and items match nothing; equal items are reported each; repeated rows give a row each only if their
+ids differ; rows without an id are told apart by their texts, reported with a null id, and dropped by ``clean`` like any others; empty
 tables give no rows; other columns are never read. Words are compared by 64-bit hashes.
 """
 
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
@@ -158,12 +159,32 @@ def longest_stretch(same: np.ndarray, share: float) -> tuple[int, int]:
     return (int(inside[0]), int(inside[-1]) + 1) if len(inside) else (0, 0)
 
 
+def _named(id_col: str, text_col: str) -> Column:
+    """An id that is never null: the id as text, or the text's hash where there is none."""
+    return F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.concat(F.lit("?"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
+
+
+def _has_null(df: DataFrame, col: str) -> bool:
+    return not df.where(F.col(col).isNull()).isEmpty()
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", least: int = LEAST, share: float = SHARE) -> DataFrame:
     """One row per (document, item) with a verified overlap: its longest stretch.
 
-    Columns: the ids, doc_start, doc_end, item_start, item_end (words, ends exclusive) and n_equal.
+    Columns: the ids, doc_start, doc_end, item_start, item_end (words, ends exclusive) and n_equal. Rows without an id are told
+    apart by their texts and reported with a null id.
     """
+    if not _has_null(docs, id_col) and not _has_null(items, item_col):
+        return _contamination(docs, items, id_col, text_col, item_col, item_text_col, least, share)
+    found = _contamination(docs.select(_named(id_col, text_col).alias(id_col), text_col), items.select(_named(item_col, item_text_col).alias(item_col), item_text_col),
+                           id_col, text_col, item_col, item_text_col, least, share)
+    kinds = {id_col: docs.schema[id_col].dataType, item_col: items.schema[item_col].dataType}
+    back = {c: F.when(F.col(c).startswith("="), F.expr(f"substring(`{c}`, 2)")).cast(t) for c, t in kinds.items()}
+    return found.withColumns(back)
+
+
+def _contamination(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, least: int, share: float) -> DataFrame:
     bench = checkpointed(benchmark_words(items, item_col, item_text_col))
     short = tuple(sorted(r[0] for r in bench.select(F.size("words")).where(F.size("words") < SPAN).distinct().collect()))
     bench_seeds = checkpointed(list_seeds(bench, ["item"], short, items=True).withColumnRenamed("pos", "item_pos"))
@@ -203,5 +224,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those that hold a verified overlap with the benchmark; all columns as they are."""
-    found = checkpointed(contamination(docs, items, id_col, text_col).select(id_col).distinct())
-    return bloom.without_ids(docs, found, id_col)
+    if not _has_null(docs, id_col):
+        found = checkpointed(contamination(docs, items, id_col, text_col).select(id_col).distinct())
+        return bloom.without_ids(docs, found, id_col)
+    name = "_name"
+    while name in docs.columns:
+        name += "_"
+    named = docs.withColumn(name, _named(id_col, text_col))
+    found = checkpointed(contamination(named.select(name, text_col), items, name, text_col).select(name).distinct())
+    return bloom.without_ids(named, found, name).drop(name)
