@@ -18,6 +18,10 @@ from tablegrad.session import scratch_path, ship_package
 #: Bytes of text that one numpy step handles; a longer single text is one step of its own.
 PIECE_BYTES = 1 << 20
 
+# Arrow takes its memory from the C heap, so that what a task frees can go back to the system (``give_back``): its own pools
+# keep what they had at most, for as long as the worker lives.
+pa.set_memory_pool(pa.system_memory_pool())
+
 
 def prepare(spark: SparkSession) -> None:
     """Ship the package; keep Arrow batches of long texts small unless the session says otherwise."""
@@ -61,7 +65,7 @@ def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return freed memory to the system: a Python worker outlives its task and stands beside the executor's heap."""
     with contextlib.suppress(OSError, AttributeError):  # only glibc has it
         ctypes.CDLL(None).malloc_trim(0)
@@ -78,7 +82,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = PIECE_
             to = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
             yield batch.slice(at, to - at), raw[off[at]:off[to]], off[at:to + 1] - off[at]
             at = to
-    _give_back()
+    give_back()
 
 
 def deflated(col: pa.Array) -> pa.Array:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import column, pieces
+from .common import column, give_back, pieces
 
 CAPACITY = 4096
 END_ID = 2
@@ -315,6 +315,10 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         packer.close()
         if rows:
             yield out()
+        # A worker lives on for other stages: what it knows of the vocabulary takes more memory than all else here.
+        tok = packer = None
+        tokens_of.cache_clear()
+        give_back()
 
     out = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
         run, f"_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
