@@ -8,8 +8,8 @@ vocabulary and one unknown event a class, so the scores are log-probabilities li
    shuffle, which grows with the vocabulary). The ``HEAD`` most frequent tokens, a fixed number, go to all tasks.
 2. Units (the most frequent words; all other words by their last bytes) are counted with their frequent neighbours, and
    k-means over these fixed-size tables puts units that occur in like surroundings into one class.
-3. Training: from the same broadcast weights every task runs stochastic gradient steps over all its training texts;
-   Spark averages the weights by block, weighted by tokens; several rounds.
+3. Training: the texts are written once as sequences of units. From the same broadcast weights every task runs stochastic
+   gradient steps over all its sequences; Spark averages the weights by block, weighted by tokens (``ROUNDS`` times).
 4. Scoring: one scan gives the class factor of every text in sparse numpy batches. Counts of frequent tokens are at
    hand; those of rarer tokens meet their documents by a join on the hash, and sums by document finish both scores.
 
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import checkpointed, column, pieces
+from .common import checkpointed, column, give_back, pieces
 
 HEAD = 1 << 17
 #: Units: the most frequent tokens, then buckets of word ends for the rest.
@@ -158,23 +158,48 @@ class Vocabulary:
         return unit, at, known
 
 
-def _neighbours(docs: DataFrame, vocab) -> np.ndarray:
-    """UNITS x NEAR: how often a frequent word stands right before or right after a unit."""
+def _unit_table(docs: DataFrame, vocab) -> DataFrame:
+    """(units, first): the units of some texts as uint16, and where each text begins as uint32. Written once, so that what is learned
+    from sequences of units doesn't cut the texts into words again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(UNITS * NEAR, np.float32)
         for _, raw, off in pieces(batches, "_text"):
             h, e, first = _tokens(raw, off)
             u, _, _ = vocab.value.units(h, e)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (u.astype("<u2"), first.astype("<u4"))], ["units", "first"])
+
+    return checkpointed(docs.select("_text").mapInArrow(run, "units binary, first binary"))
+
+
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(units, first index of each text) of the rows of a unit table."""
+    for b in batches:
+        for u, f in zip(column(b, "units"), column(b, "first")):
+            yield np.frombuffer(u.as_buffer(), "<u2").astype(np.int64), np.frombuffer(f.as_buffer(), "<u4").astype(np.int64)
+    give_back()
+
+
+def _neighbours(units: DataFrame) -> np.ndarray:
+    """UNITS x NEAR: how often a frequent word stands right before or right after a unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(UNITS * NEAR, np.float32)
+        held: list[np.ndarray] = []
+        for u, first in _sequences(batches):
             inside = np.ones(max(0, len(u) - 1), bool)
             inside[first[1:] - 1] = False
             a, b = u[:-1][inside], u[1:][inside]
             for x, y in ((a, b), (b, a)):
                 m = y < NEAR
-                total += np.bincount(x[m] * NEAR + y[m], minlength=UNITS * NEAR)
+                held.append((x[m] * NEAR + y[m]).astype(np.int32))
+            if sum(map(len, held)) > UNITS * NEAR:
+                total += np.bincount(np.concatenate(held), minlength=UNITS * NEAR)
+                held.clear()
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=UNITS * NEAR)
         yield from _blocks(total)
 
-    return _sum_blocks(docs.select("_text"), run, UNITS * NEAR).reshape(UNITS, NEAR)
+    return _sum_blocks(units, run, UNITS * NEAR).reshape(UNITS, NEAR)
 
 
 def cluster(counts: np.ndarray, weight: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -211,6 +236,16 @@ def _contexts(unit: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def _softmax(w: np.ndarray, feats: np.ndarray) -> np.ndarray:
+    z = w[feats[:, 0]]
+    for i in range(1, feats.shape[1]):
+        z += w[feats[:, i]]
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    return z
+
+
 def _log_softmax(w: np.ndarray, feats: np.ndarray) -> np.ndarray:
     z = w[feats[:, 0]]
     for i in range(1, feats.shape[1]):
@@ -240,19 +275,19 @@ def _segment_sums(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     return x
 
 
-def _round(docs: DataFrame, vocab, weights: np.ndarray, rate: float) -> np.ndarray:
+def _round(units: DataFrame, classes: np.ndarray, weights: np.ndarray, rate: float) -> np.ndarray:
     """One round: every task's gradient steps over its texts, averaged over tasks by tokens."""
-    sent = docs.sparkSession.sparkContext.broadcast(weights)
+    sent = units.sparkSession.sparkContext.broadcast(weights)
     size = BUCKETS * CLASSES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, seen = sent.value.copy(), 0
         power = np.full(BUCKETS, 1.0, np.float32)
-        for _, raw, off in pieces(batches, "_text"):
-            _, _, _, _, feats, target = _batches(vocab.value, raw, off)
+        for unit, first in _sequences(batches):
+            feats, target = _contexts(unit, first), classes[unit]
             for i in range(0, len(target), BATCH):
                 f, t = feats[i:i + BATCH], target[i:i + BATCH]
-                g = np.exp(_log_softmax(w, f))
+                g = _softmax(w, f)
                 g[np.arange(len(t)), t] -= 1
                 flat = f[:, 1:].ravel()  # the bias, bucket 0 of every row, is summed by itself
                 order = np.argsort(flat, kind="stable")
@@ -266,7 +301,7 @@ def _round(docs: DataFrame, vocab, weights: np.ndarray, rate: float) -> np.ndarr
         if seen:
             yield from _blocks(np.concatenate([w.ravel() * seen, np.full(1, seen, np.float32)]))
 
-    total = _sum_blocks(docs.select("_text"), run, size + 1)
+    total = _sum_blocks(units, run, size + 1)
     sent.unpersist()
     return (total[:size] / total[size]).reshape(BUCKETS, CLASSES).astype(np.float32) if total[size] else weights
 
@@ -306,18 +341,18 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Mode
         tokens[FREQUENT + e] -= c
         kinds[FREQUENT + e] -= 1
 
-    vocab.classes[:UNITS] = cluster(_neighbours(x, sent), tokens, CLASSES - 1)
+    units = _unit_table(x, sent)
+    vocab.classes[:UNITS] = cluster(_neighbours(units), tokens, CLASSES - 1)
     at, known = vocab.find(np.array([END]))
     if known[0]:
         vocab.classes[vocab.unit[at[0]]] = CLASSES - 1  # the end of a text is a class of its own
     total = np.bincount(vocab.classes[:UNITS], weights=tokens + kinds, minlength=CLASSES) + 1
     sent.unpersist()
-    sent = spark.sparkContext.broadcast(vocab)
     share = np.bincount(vocab.classes[:UNITS], weights=tokens, minlength=CLASSES) + 1
     weights = np.zeros((BUCKETS, CLASSES), np.float32)
     weights[0] = np.log(share / share.sum())
     for i in range(rounds):
-        weights = _round(x, sent, weights, RATE / (i + 1))
+        weights = _round(units, vocab.classes, weights, RATE / (i + 1))
     return Model(vocab, weights, np.log10(total), counts, int(n), int(v))
 
 
