@@ -10,7 +10,8 @@ The trees learn from weak labels of a bounded sample of the pages themselves (``
 hashes): text under ``article`` or ``main`` and not under navigation and the like is content. Part of the sample is
 changed first (semantic tags renamed to plain ones, attributes dropped, unmarked navigation kept), so that the trees also
 learn densities and sibling statistics; ``_teaching_pages`` adds small fixed layouts (comments, forms, notices) whose
-texts are taken from the sampled pages.
+texts are taken from the sampled pages. Where no sampled page has such tags, paragraphs, headings and items with few links and
+no marks of navigation teach what content is, and elements that are mostly links or so marked what isn't.
 
 Defined results: null, empty or text-less html gives an empty text; markup cut off anywhere is read as far as it goes;
 repeated rows are extracted each; an empty table gives no rows; other columns are never read.
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from . import gbt
 from .common import column, hash_share, pieces
 
-#: Bound on the pages that the trees learn from.
-MAX_PAGES = 1500
+#: Bound on the pages that the trees learn from, and on the elements of one page that do (evenly chosen from all that are labelled).
+MAX_PAGES, MAX_ELEMENTS = 1500, 48
 
 # Fixed sets of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -187,7 +188,7 @@ def features(page: Page) -> np.ndarray:
         total += k
         links[e] += k if in_link[e] else 0
         stops[e] += s.count(".") + s.count(",") + s.count(";")
-        digits[e] += sum(map(s.count, "0123456789")) if k < 400 else 0
+        digits[e] += sum(map(s.count, "0123456789"))
     sub, link, dots, nums = (_parent_sums(parent, x) for x in (own, links, stops, digits))
     tags_below = _parent_sums(parent, np.ones(n))
     text_tags = _parent_sums(parent, flags[:, 1])
@@ -267,6 +268,32 @@ def weak_labels(page: Page) -> np.ndarray:
     return np.where((good > 0.5) & ~np.array(boiler), 1, np.where(bad > 0.5, 0, -1))
 
 
+def density_labels(page: Page) -> np.ndarray:
+    """Labels for a page without semantic tags: 1 for text elements with few links and what is mostly made of them, 0 for elements
+    that are mostly links or marked as something else, -1 for others."""
+    n = len(page.tags)
+    boiler, in_link = [False] * n, [False] * n
+    for i in range(1, n):
+        p = page.parent[i]
+        boiler[i] = boiler[p] or page.tags[i] in BOILER_TAGS or page.hidden[i] or any(w in BOILER_WORDS for w in page.words[i])
+        in_link[i] = in_link[p] or page.tags[i] == "a"
+    own = own_lengths(page) - 0.01
+    sub = _parent_sums(page.parent, own)
+    share = _parent_sums(page.parent, own * np.array(in_link)) / np.maximum(sub, 1)
+    boilers = np.array(boiler)
+    text = np.array([t in TEXT_TAGS for t in page.tags])
+    heading = np.array([t in HEADINGS for t in page.tags])
+    good = text & ~boilers & (share <= 0.3) & ((sub >= 40) | (heading & (sub >= 5)))
+    inside = good.copy()
+    for i in range(1, n):
+        inside[i] |= inside[page.parent[i]] and not boiler[i]
+    made = _parent_sums(page.parent, own * inside)
+    wraps = ~boilers & ~text & (made > 0.5 * sub) & (sub > 0)
+    out = np.where(inside | wraps, 1, np.where((boilers | (share > 0.5)) & (sub > 0), 0, -1))
+    out[0] = 1 if good.any() else -1
+    return out
+
+
 _RENAMED = (("article", "div"), ("main", "div"), ("nav", "div"), ("footer", "div"), ("aside", "div"), ("header", "div"))
 
 
@@ -319,36 +346,44 @@ def train(pages: DataFrame, url_col: str = "url", html_col: str = "html", max_pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            xs, ys = [], []
+            xs, ys, kinds = [], [], []
+
+            def teach(kind: int, shown: Page, y: np.ndarray) -> None:
+                use = np.flatnonzero(y >= 0)
+                if len(shown.tags) != len(y) or not len(use):
+                    return
+                # long pages count with their wrappers and an even choice of their paragraphs
+                use = use[np.unique(np.linspace(0, len(use) - 1, min(len(use), MAX_ELEMENTS)).astype(int))]
+                xs.append(features(shown)[use])
+                ys.append(y[use])
+                kinds.extend([kind] * len(use))
+
             for h, k in zip(column(b, "_html").to_pylist(), column(b, "_k").to_pylist()):
                 source = Page(_teaching_pages(h, k) if k % 3 else h)
                 y = weak_labels(source)
                 if not (y >= 0).any():
+                    bare = Page(h)
+                    teach(1, Page(_changed(h, 4 if k % 2 else 0)), density_labels(bare))
                     continue
                 shown = _changed(_teaching_pages(h, k) if k % 3 else h, k % 5)
                 if k % 7 == 3:  # the article's parts stand in the body itself
                     y = y[[t not in MAIN_TAGS for t in source.tags]]
                     shown = re.sub(r"</?(article|main)\b[^>]*>", "", _teaching_pages(h, k) if k % 3 else h)
-                shown = Page(shown)
-                if len(shown.tags) != len(y):
-                    continue
-                x = features(shown)
-                # long pages count with their wrappers and an even choice of their paragraphs
-                use = np.flatnonzero(y >= 0)
-                use = use[np.unique(np.linspace(0, len(use) - 1, min(len(use), 48)).astype(int))]
-                xs.append(x[use])
-                ys.append(y[use])
+                teach(0, Page(shown), y)
             if xs:
                 x, y = np.concatenate(xs), np.concatenate(ys)
-                yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int64)), *map(pa.array, x.T.astype(float))], ["y", *names])
+                yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int64)), pa.array(kinds), *map(pa.array, x.T.astype(float))], ["y", "kind", *names])
 
     some = pages.where(F.length(html_col) > 0)
     rows = some.select(F.col(html_col).alias("_html"), F.xxhash64(url_col, html_col).alias("_o")) \
         .where(hash_share(F.col("_o"), some.count(), max_pages)).groupBy("_o").agg(F.first("_html").alias("_html"))  # equal pages once
     sample = rows.orderBy("_o").limit(max_pages).select("_html", F.pmod("_o", F.lit(60)).cast("int").alias("_k"))
-    got = sample.repartition(16).mapInArrow(run, "y bigint, " + ", ".join(f"{c} double" for c in names)).toArrow()
+    got = sample.repartition(16).mapInArrow(run, "y bigint, kind bigint, " + ", ".join(f"{c} double" for c in names)).toArrow()
     x = np.stack([got[c].to_numpy() for c in names], 1) if len(got) else np.zeros((0, len(names)))
     y = got["y"].to_numpy().astype(float) if len(got) else np.zeros(0)
+    if len(got):  # labels by density only where there are no others
+        kind = got["kind"].to_numpy()
+        x, y = x[kind == kind.min()], y[kind == kind.min()]
     order = np.lexsort((*x.T, y))
     return gbt.fit(x[order], y[order], trees=40, depth=4, rate=0.25)
 

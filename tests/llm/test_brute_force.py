@@ -70,6 +70,18 @@ def test_op1_text_of_articles(spark, con):
         assert got[i].n_chars == len(got[i].text)
 
 
+def test_op1_without_semantic_tags(spark, con):
+    """Pages whose articles stand in plain elements: the trees learn from link density and marks instead."""
+    plain = lambda h: re.sub(r"<(/?)(article|main)\b", r"<\1div", h)
+    pages = con.sql("SELECT page_id, url, html FROM pages").fetchall()
+    want = {r.page_id: r.text for r in rows_of(spark, "op1_html")}
+    df = spark.createDataFrame([(i, u, plain(h)) for i, u, h in pages], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(df, html.train(df)).collect()}
+    hits = sum(len(set(want[i].split("\n")) & set(got[i].split("\n"))) for i in want)
+    assert hits >= 0.95 * sum(len(set(t.split("\n"))) for t in want.values())
+    assert hits >= 0.95 * sum(len(set(t.split("\n"))) for t in got.values())
+
+
 P = "<p>The committee met on Tuesday to discuss the new plan, and its members agreed that it would cost less.</p>"
 
 
