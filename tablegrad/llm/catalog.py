@@ -89,8 +89,7 @@ ESCAPED_TURN = "\\### Assistant: </turn> ok"
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", ESCAPED_TURN), (-7, 1, "assistant", ESCAPED_TURN)], turns.schema)
-    records = chat.records_from_turns(turns.unionByName(extra))
-    return chat.digests(chat.format_records(records, "conv_id", "record"))
+    return chat.digests(chat.format_turns(chat.turn_records(turns.unionByName(extra)))).drop("n_mappings")
 
 
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -524,3 +524,43 @@ def test_rows_without_an_id(spark):
     assert sorted(str(r.text) for r in left.collect() if r.doc_id is None) == ["None", "clean text here"]
     spans = passages.repeated_passages(docs).collect()
     assert {r.doc_id for r in spans} == {1, 2}
+
+
+def test_op9_layouts_of_one_table_and_a_conversation_with_most_rows(spark, con):
+    """Records of four layouts give the digests of their turns; a conversation may hold any share of the rows."""
+    data = [(i, t, r, x) for i, t, r, x in con.sql("SELECT conv_id, turn, role, text FROM conversations").fetchall()]
+    data += [(10 ** 6, i, ("user", "assistant")[i % 2], f"### line {i} </turn> \\ {'z' * (i % 90)}") for i in range(6000)]
+    data += [(None, 1, None, None), (None, 0, "gpt", "x"), (10 ** 6 + 1, None, "human", "a"), (10 ** 6 + 1, 3, "a:b\n### c", "")]
+    df = spark.createDataFrame(data, "conv_id bigint, turn int, role string, text string").withColumn("record", F.lit(1))
+    pieces = chat.format_turns(chat.turn_records(df))
+    assert {r.mapping for r in pieces.select("mapping").distinct().collect()} == {"messages", "from_value", "turn", "parts"}
+    whole = {}
+    for i, t, r, x in data:
+        whole.setdefault(i, []).append((-1 if t is None else t, r or "", x or ""))
+    got = {r.conv_id: r for r in chat.digests(pieces).collect()}
+    assert set(got) == set(whole)
+    for i, turns in whole.items():
+        turns = [(r, x) for _, r, x in sorted(turns)]
+        loss = "".join(x for r, x in turns if r == "assistant")
+        assert got[i].n_turns == len(turns) and got[i].loss_chars == len(loss) and got[i].formatted_chars == len(chat.render(turns)[0])
+        assert got[i].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+        assert got[i].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert chat.digests(chat.format_turns(chat.turn_records(df.limit(0)))).count() == 0
+
+
+def test_op7_bare_secrets_and_ordinary_identifiers(spark):
+    """The models alone: planted random strings without any prefix are found, names made of the corpus's words mostly aren't."""
+    import random
+    rng = random.Random(8)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = secret_scan.train(docs)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secret = ["".join(rng.choice(chars) for _ in range(n)) for n in (16, 20, 24, 32) for _ in range(250)]
+    words = sorted({w for (t,) in docs.select("text").where("lang = 'en'").limit(200).collect() for w in re.findall(r"\b[a-z]{4,10}\b", t or "")})
+    plain = ["".join(rng.sample(words, 2)) for _ in range(1000)]
+    plain = [w for w in plain if len(w) >= 12]
+    df = spark.createDataFrame([(i, f"see {w} there") for i, w in enumerate(secret + plain)], "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.scan(df, model).collect()}
+    found = sum(any(x["kind"] == "markov" and x["start"] <= 4 and x["end"] >= 4 + len(w) for x in got[i]) for i, w in enumerate(secret))
+    false = sum(bool(got[len(secret) + i]) for i in range(len(plain)))
+    assert found >= 0.99 * len(secret) and false <= 0.02 * len(plain), (found, false, len(plain))
