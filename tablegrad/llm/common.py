@@ -26,6 +26,8 @@ pa.set_memory_pool(pa.system_memory_pool())
 def prepare(spark: SparkSession) -> None:
     """Ship the package; keep Arrow batches of long texts small unless the session says otherwise."""
     ship_package(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":  # the default: held by the JVM and by Python
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # the default
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
