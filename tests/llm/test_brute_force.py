@@ -8,11 +8,13 @@ import re
 import zlib
 from html import unescape
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tablegrad.llm import (bloom, catalog, chat, components, decontam, gbt, html, jaccard, maxent, packing, passages, quality,
                            secret_scan, toxicity)
+from tablegrad.llm import textops as T
 from tablegrad.plans.verify import duck_connection
 
 SF = "/root/testdata/sf0.001"
@@ -457,6 +459,29 @@ def test_op10_common_headers(spark):
     assert len({(g, next(iter(got[d]))[0]) for d, g in group.items()}) == len({next(iter(got[d]))[0] for d in group}) == 6
 
 
+def test_op10_surroundings_never_reject_a_passage():
+    """Every centre of a shared passage of 50 words with one changed, wherever it lies in two documents, and repeats in it."""
+    import random
+    rng, t = random.Random(5), 46
+    lost = -(-t // 7) + 1
+    for trial in range(60):
+        alphabet = 4 if trial % 3 == 0 else 10 ** 6  # a third of the passages repeat themselves
+        passage = [rng.randrange(alphabet) for _ in range(t)]
+        changed = list(passage)
+        at = rng.randrange(t - 5)
+        changed[at:at + 5] = [10 ** 7 + rng.randrange(10 ** 6) for _ in range(5)]
+        docs = []
+        for k, middle in enumerate((passage, changed)):
+            around = [[10 ** 8 * (k + 1) + rng.randrange(10 ** 7) for _ in range(rng.choice((0, 3, 30, 90)))] for _ in range(2)]
+            docs.append((len(around[0]), T.mix(np.array(around[0] + middle + around[1], np.uint64))))
+        (i, a), (j, b) = docs
+        sides = [passages._half_sides(x, t, n) for n, x in enumerate((a, b))]
+        sets = [passages.surroundings(x, np.zeros(len(x), np.int64), (t - 1) // 2) for x in (a, b)]
+        for c in set(range(t)) - set(range(at, at + 5)):
+            assert passages._may_hold(sides[0][[i + c]], sides[1][[j + c]], t, lost)[0]
+            assert max(passages._alike(x[[i + c]], y[[j + c]], (t - 1) // 2)[0] for x, y in zip(*sets)) >= (t - 1) // 2 - lost
+
+
 def test_op10_recall_of_changed_words(spark):
     n, texts = 600, {}
     for i in range(n):
