@@ -321,12 +321,13 @@ def batchnorm_eval_cells(cells: DataFrame, buffers: DataFrame, gamma: np.ndarray
                          j: str = "j", x: str = "x", out: str = "y") -> DataFrame:
     """Evaluation-mode batch norm of cells with a buffer table ``(j, running_mean, running_var)``, joined on ``j``.
 
-    A feature without buffers fails the job.
+    A feature without buffers fails the job. The buffers have one row a feature and go to every task: dealt by ``j``, the cells would
+    meet in as many tasks as there are features.
     """
     b = buffers.select(F.col(j), F.col("running_mean").alias("_m"), F.col("running_var").alias("_v"))
     y = (F.col(x) - F.col("_m")) / F.sqrt(F.col("_v") + F.lit(eps)) * F.element_at(lit_array(gamma), F.col(j) + 1)
     there = checked(y + F.element_at(lit_array(beta), F.col(j) + 1), F.col("_m").isNotNull(), "batch norm: a feature has no buffers")
-    return cells.join(b, j, "left").withColumn(out, there).drop("_m", "_v")
+    return cells.join(F.broadcast(b), j, "left").withColumn(out, there).drop("_m", "_v")
 
 
 def batchnorm_eval(a, running_mean, running_var, gamma, beta, eps: float = 1e-5) -> Column:
