@@ -1,8 +1,8 @@
 """Large files by ranges: text lines by byte ranges, IDX records by record ranges, as Python data sources.
 
-A partition is a range of one file, so a file of any size is read by many tasks, each holding one chunk. A line belongs to the range
-in which it begins; ranges of UTF-16 files begin at whole code units. Gzip files don't split: they are one partition, read as a
-stream. Files are opened by ``pyarrow.fs``, so a path may be local or the URI of any store that it knows.
+A file of any size is read by ranges in many tasks, each holding one chunk; a partition is a range, or several where there are many small
+ones. A line belongs to the range in which it begins; ranges of UTF-16 files begin at whole code units. Gzip files don't split: each
+is one range, read as a stream. Files are opened by ``pyarrow.fs``, so a path may be local or the URI of any store that it knows.
 
 ``put_files`` is the way back: rows ``(path, content)`` become files of those names.
 """
@@ -10,6 +10,7 @@ stream. Files are opened by ``pyarrow.fs``, so a path may be local or the URI of
 from __future__ import annotations
 
 import fnmatch
+import itertools
 import os
 import uuid
 import zlib
@@ -28,6 +29,12 @@ from tablegrad.sources.idx import IMAGE_MAGIC, LABEL_MAGIC, RECORD_SCHEMA, shard
 #: Bytes of a range and of one read.
 RANGE_BYTES = 32 << 20
 CHUNK = 1 << 20
+#: Partitions of many small ranges, and the bytes that opening one counts as.
+TASKS = 128
+OPEN_BYTES = 64 << 10
+#: Bytes read first beyond a range, for the rest of its last line, and rows of one batch of lines.
+TAIL = 1 << 10
+BATCH = 8192
 LINES = "file string, range bigint, place bigint, line string"
 
 
@@ -51,10 +58,34 @@ def list_files(path: str, pattern: str) -> list[tuple[str, int]]:
     return sorted((i.path, i.size) for i in found if i.type == pafs.FileType.File and names(i))
 
 
-class Range(InputPartition):
-    def __init__(self, path: str, number: int, begin: int, end: int, **more):
+class Range:
+    """A part of a file; ``size``: its bytes."""
+
+    def __init__(self, path: str, number: int, begin: int, end: int, size: int, **more):
+        self.path, self.number, self.begin, self.end, self.size, self.more = path, number, begin, end, size, more
+
+
+class Ranges(InputPartition):
+    def __init__(self, ranges: list[Range]):
         super().__init__(0)
-        self.path, self.number, self.begin, self.end, self.more = path, number, begin, end, more
+        self.ranges = ranges
+
+    def by_file(self) -> Iterator[tuple[str, list[Range]]]:
+        return ((path, list(own)) for path, own in itertools.groupby(self.ranges, lambda r: r.path))
+
+
+def deal(found: list[Range]) -> list[Ranges]:
+    """Neighbouring ranges share a partition, so that many small ones don't make as many tasks: there are ``TASKS`` partitions, or more once
+    each has ``RANGE_BYTES``; fewer ranges have one each."""
+    if not found:
+        return [Ranges([])]
+    cost = np.cumsum([r.size + OPEN_BYTES for r in found])
+    tasks = max(TASKS, -(-int(cost[-1]) // RANGE_BYTES))
+    if len(found) <= tasks:
+        return [Ranges([r]) for r in found]
+    task = (cost - 1) * tasks // int(cost[-1])
+    cuts = [0, *(np.flatnonzero(np.diff(task)) + 1).tolist(), len(found)]
+    return [Ranges(found[x:y]) for x, y in zip(cuts, cuts[1:])]
 
 
 class _Reader(DataSourceReader):
@@ -88,50 +119,80 @@ def _find(data: bytes, feed: bytes, at: int) -> int:
     return i
 
 
+def _rfind(data: bytes, feed: bytes) -> int:
+    """The last line feed that begins at a whole code unit, or -1."""
+    i = data.rfind(feed)
+    while i >= 0 and i % len(feed):
+        i = data.rfind(feed, 0, i + len(feed) - 1)
+    return i
+
+
+def _range_lines(f: pa.NativeFile, size: int, codec: str, feed: bytes, mark: int, part: Range) -> Iterator[list[str]]:
+    """The lines that begin in a range, some at a time; what is held is a chunk and a line."""
+    unit = len(feed)
+    at = base = max(part.begin - unit, 0)  # one unit back: a line feed there means that a line begins with the range
+    held, skip, tail = b"", part.begin > 0, TAIL
+
+    def lines(end: int) -> list[str]:
+        text = held[0 if base else mark:end].decode(codec)
+        return [x[:-1] if x.endswith("\r") else x for x in text.split("\n")]
+
+    while base < part.end:
+        want = part.end - at
+        if want < tail:
+            want, tail = tail, tail * 2
+        new = f.read_at(min(CHUNK, size - at, want), at)
+        at += len(new)
+        held += new
+        if skip:
+            i = _find(held, feed, 0)
+            cut = len(held) - len(held) % unit if i < 0 else i + unit
+            held, base, skip = held[cut:], base + cut, i < 0
+            if skip and at >= size:
+                return
+            if skip or base >= part.end:
+                continue
+        end = _find(held, feed, max(part.end - unit - base, 0))  # of the last line
+        if end >= 0 or at >= size:
+            yield lines(end if end >= 0 else len(held))  # at the end of the file without a line feed
+            return
+        end = _rfind(held, feed)
+        if end >= 0:
+            yield lines(end)
+            held, base = held[end + unit:], base + end + unit
+
+
 class LineReader(_Reader):
     def partitions(self):
-        out = []
-        for path, size in list_files(self.path, self.pattern):
-            step = max(2, self.bytes - self.bytes % 2)
-            out += [Range(path, k, a, min(size, a + step)) for k, a in enumerate(range(0, size, step))]
-        return out or [Range("", 0, 0, 0)]
+        step = max(2, self.bytes - self.bytes % 2)
+        return deal([Range(path, k, a, min(size, a + step), min(step, size - a)) for path, size in list_files(self.path, self.pattern)
+                     for k, a in enumerate(range(0, size, step))])
 
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
-        if part.end <= part.begin:
-            return
+    def read(self, part: Ranges) -> Iterator[pa.RecordBatch]:
         fs, _ = open_store(self.path)
-        with fs.open_input_file(part.path) as f:
-            codec, feed, mark = _encoding(self.options.get("encoding", "UTF-8"), f.read_at(3, 0))
-            unit = len(feed)
-            at = max(part.begin - unit, 0)  # one unit back: a line feed there means that a line begins with the range
-            held, base, skip, place = b"", at, part.begin > 0, 0
-            size = f.size()
-            while base < part.end:
-                new = f.read_at(min(CHUNK, size - at), at)
-                at += len(new)
-                held += new
-                ends, i = [], _find(held, feed, 0)
-                while i >= 0:
-                    ends.append(i)
-                    i = _find(held, feed, i + unit)
-                if at >= size and (not ends or ends[-1] + unit < len(held)):
-                    ends.append(len(held))  # the last line has no line feed
-                lines, begin = [], 0
-                for e in ends:
-                    if skip:
-                        skip = False
-                    elif base + begin < part.end:
-                        lines.append(held[begin + (0 if base + begin else mark):e].decode(codec))
-                    begin = e + unit
-                if lines:
-                    n = len(lines)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([part.path] * n), pa.array([part.number] * n, pa.int64()), pa.array(np.arange(place, place + n)),
-                         pa.array([x[:-1] if x.endswith("\r") else x for x in lines])], names=["file", "range", "place", "line"])
-                    place += n
-                if at >= size:
-                    return
-                held, base = held[begin:], base + begin
+        held, rows, chars = [], 0, 0  # (path, number, first place, lines)
+
+        def batch() -> pa.RecordBatch:
+            n = [len(x) for *_, x in held]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p for (p, *_), m in zip(held, n) for _ in range(m)], pa.string()), pa.array(np.repeat([k for _, k, *_ in held], n), pa.int64()),
+                 pa.array(np.concatenate([np.arange(first, first + m) for (*_, first, _), m in zip(held, n)])),
+                 pa.array([x for *_, own in held for x in own], pa.string())], names=["file", "range", "place", "line"])
+
+        for path, own in part.by_file():
+            with fs.open_input_file(path) as f:
+                size = f.size()
+                codec, feed, mark = _encoding(self.options.get("encoding", "UTF-8"), f.read_at(min(3, size), 0))
+                for r in own:
+                    place = 0
+                    for lines in _range_lines(f, size, codec, feed, mark, r):
+                        held.append((path, r.number, place, lines))
+                        place, rows, chars = place + len(lines), rows + len(lines), chars + sum(map(len, lines))
+                        if rows >= BATCH or chars >= CHUNK:
+                            yield batch()
+                            held, rows, chars = [], 0, 0
+        if held:
+            yield batch()
 
 
 class LineSource(DataSource):
@@ -207,28 +268,29 @@ class IdxReader(_Reader):
             with fs.open_input_file(path) as f:
                 head = f.read_at(min(16, size), 0)
             if head[:2] == b"\x1f\x8b":
-                out.append(Range(path, 0, 0, size, gzip=True))
+                out.append(Range(path, 0, 0, size, size, gzip=True))
                 continue
             kind, n, width, skip = _header(head)
             if size != skip + n * width:
                 raise ValueError(f"idx: {path}: payload size mismatch")
             step = max(1, self.bytes // max(1, width))
-            out += [Range(path, k, a, min(n, a + step), gzip=False, kind=kind, width=width, skip=skip) for k, a in enumerate(range(0, n, step))]
-        return out or [Range("", 0, 0, 0, gzip=False, kind="labels", width=1, skip=8)]
+            out += [Range(path, k, a, min(n, a + step), (min(n, a + step) - a) * width, gzip=False, kind=kind, width=width, skip=skip)
+                    for k, a in enumerate(range(0, n, step))]
+        return deal(out)
 
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
-        if part.end <= part.begin:
-            return
+    def read(self, part: Ranges) -> Iterator[pa.RecordBatch]:
         fs, _ = open_store(self.path)
-        with fs.open_input_file(part.path) as f:
-            if part.more["gzip"]:
-                yield from self._stream(f, part.path)
-                return
-            kind, width, skip = part.more["kind"], part.more["width"], part.more["skip"]
-            step = max(1, CHUNK // max(1, width))
-            for a in range(part.begin, part.end, step):
-                b = min(part.end, a + step)
-                yield _records(part.path, kind, a, f.read_at((b - a) * width, skip + a * width), width)
+        for path, own in part.by_file():
+            with fs.open_input_file(path) as f:
+                for r in own:
+                    if r.more["gzip"]:
+                        yield from self._stream(f, path)
+                        continue
+                    kind, width, skip = r.more["kind"], r.more["width"], r.more["skip"]
+                    step = max(1, CHUNK // max(1, width))
+                    for a in range(r.begin, r.end, step):
+                        b = min(r.end, a + step)
+                        yield _records(path, kind, a, f.read_at((b - a) * width, skip + a * width), width)
 
     @staticmethod
     def _stream(f, path: str) -> Iterator[pa.RecordBatch]:
