@@ -482,6 +482,70 @@ def test_op10_surroundings_never_reject_a_passage():
             assert max(passages._alike(x[[i + c]], y[[j + c]], (t - 1) // 2)[0] for x, y in zip(*sets)) >= (t - 1) // 2 - lost
 
 
+def test_op10_places_around_centres():
+    """Passages of 50 words with one changed hold, wherever they lie; runs of one word beside unlike text don't."""
+    import random
+    rng, t = random.Random(6), 46
+    lost, reach = -(-t // 7) + 1, np.full((1, 2), t - 1)
+    for trial in range(60):
+        passage = [rng.randrange(4 if trial % 3 == 0 else 10 ** 6) for _ in range(t)]
+        changed, at = list(passage), 1 + rng.randrange(t - 6)  # a passage begins and ends with what is shared
+        changed[at:at + 5] = [10 ** 7 + rng.randrange(10 ** 6) for _ in range(5)]
+        around = [[[10 ** 8 * (k + 1) + rng.randrange(10 ** 7) for _ in range(rng.choice((0, 3, 30, 90)))] for _ in range(2)] for k in range(2)]
+        a, b = (T.mix(np.array(x + m + y, np.uint64)) for m, (x, y) in zip((passage, changed), around))
+        for c in set(range(1, t - 1)) - set(range(at - 1, at + 6)):
+            p, q = (passages._around(s, np.array([len(x) + c]), t, k) for k, (s, (x, _)) in enumerate(zip((a, b), around)))
+            assert passages._shares(p, q, reach, reach, t, lost)[0]
+            assert not passages._shares(p, q, reach, np.array([[20, 20]]), t, lost)[0]
+    run = [T.mix(np.array([k * 1000] * 40 + [1] * 34 + list(range(k * 1000 + 1, k * 1000 + 40)), np.uint64)) for k in (1, 2)]
+    p, q = (passages._around(s, np.array([40]), t, k) for k, s in enumerate(run))
+    assert not passages._shares(p, q, reach, reach, t, lost)[0]
+    assert not passages._may_hold(passages._sets(p, t), passages._sets(q, t), t, lost)[0]
+
+
+def _verified_pairs(monkeypatch):
+    """Counts of the pairs that reach the texts, one for each round."""
+    counts, verify = [], passages.verify
+
+    def counted(pairs, *args):
+        counts.append(pairs.count())
+        return verify(pairs, *args)
+
+    monkeypatch.setattr(passages, "verify", counted)
+    return counts
+
+
+def test_op10_runs_of_one_word_cost_no_pairs(spark, monkeypatch):
+    counts = _verified_pairs(monkeypatch)
+    texts = {i: [f"a{i}"] * 40 + ["the"] * 40 + [f"b{i}"] * 40 for i in range(50)}
+    texts |= {100 + i: [f"c{i}_{j}" for j in range(20)] + ["the"] * 60 + [f"d{i}_{j}" for j in range(20)] for i in range(5)}
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id bigint, text string")
+    got = passages.repeated_passages(df.repartition(3)).collect()
+    assert {r.doc_id for r in got} == {100, 101, 102, 103, 104} and len({r.passage_id for r in got}) == 1
+    assert sum(counts) < 150  # of 1,225 pairs with runs that are no passages
+
+
+def test_op10_many_passages_with_one_line(spark):
+    """Forty groups of near passages and 80 texts without one share a line, so a key has rows of 120 classes or more."""
+    line, texts, group = [f"h{i}" for i in range(30)], {}, {}
+    for i in range(80):
+        texts[i] = [f"o{i}_{j}" for j in range(30)] + line + [f"p{i}_{j}" for j in range(30)]
+    for g in range(40):
+        for k in range(3):
+            d = 1000 + 3 * g + k
+            own = [f"g{g}_{j}" for j in range(40)]
+            if k:
+                own[10 + g % 20] = f"x{d}"
+            texts[d], group[d] = [f"e{d}_{j}" for j in range(10)] + line + own + [f"f{d}_{j}" for j in range(10)], g
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id bigint, text string")
+    got = passages.repeated_passages(df.repartition(3)).collect()
+    classes = collections.defaultdict(set)
+    for r in got:
+        classes[group[r.doc_id]].add(r.passage_id)
+    assert {r.doc_id for r in got} == set(group)
+    assert all(len(c) == 1 for c in classes.values()) and len(set().union(*classes.values())) == 40
+
+
 def test_op10_recall_of_changed_words(spark):
     n, texts = 600, {}
     for i in range(n):
