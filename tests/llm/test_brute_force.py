@@ -497,6 +497,9 @@ def test_op10_places_around_centres():
             p, q = (passages._around(s, np.array([len(x) + c]), t, k) for k, (s, (x, _)) in enumerate(zip((a, b), around)))
             assert passages._shares(p, q, reach, reach, t, lost)[0]
             assert not passages._shares(p, q, reach, np.array([[20, 20]]), t, lost)[0]
+    a, b = (T.mix(np.array([*range(19), *range(k, k + 9), *range(28, 64)], np.uint64)) for k in (1000, 2000))  # 55 of 64, crowded
+    for c in (5, 17, 28, 40, 57):
+        assert passages._shares(passages._around(a, np.array([c]), t, 0), passages._around(b, np.array([c]), t, 1), reach, reach, t, lost)[0]
     run = [T.mix(np.array([k * 1000] * 40 + [1] * 34 + list(range(k * 1000 + 1, k * 1000 + 40)), np.uint64)) for k in (1, 2)]
     p, q = (passages._around(s, np.array([40]), t, k) for k, s in enumerate(run))
     assert not passages._shares(p, q, reach, reach, t, lost)[0]
