@@ -549,6 +549,59 @@ def test_op10_many_passages_with_one_line(spark):
     assert all(len(c) == 1 for c in classes.values()) and len(set().union(*classes.values())) == 40
 
 
+def test_op10_finer_keys():
+    """Rows that hold a passage keep a common key, wherever a line that most rows have lies in it; rows that share the line don't."""
+    import random
+    rng, t, common = random.Random(7), 46, 0
+    reach = np.full((1, 2), t - 1)
+    for trial in range(300):
+        line = [rng.randrange(10 ** 6) for _ in range(rng.randrange(1, 46))]
+        own = [[10 ** 7 * k + rng.randrange(10 ** 6) for _ in range(200)] for k in (1, 2, 3)]
+        left, right = (own[2][x:x + rng.randrange(60)] for x in (0, 100))
+        changed = list(left + line + right)
+        if len(changed) > 5 and trial % 2:
+            at = rng.randrange(len(changed) - 4)
+            changed[at:at + 5] = own[1][:5]
+        c = len(left) + rng.randrange(len(line))
+        docs = [(own[k][:rng.choice((0, 60))], x, own[k][60:60 + rng.choice((3, 60))]) for k, x in enumerate((left + line + right, changed))]
+        p, q = (passages._around(T.mix(np.array(x + m + y, np.uint64)), np.array([len(x) + c]), t, k) for k, (x, m, y) in enumerate(docs))
+        core = np.zeros(1 << 16, bool)
+        core[passages._around(T.mix(np.array(line, np.uint64)), np.array([c - len(left)]), t, 9)[0, t - 1 - (c - len(left)):t - 1 - (c - len(left)) + len(line)]] = True
+        (_, x), (_, y) = (passages._finer(near, 5, core, t) for near in (p, q))
+        if p[0, t - 1] == q[0, t - 1] and passages._shares(p, q, reach, reach, t, 8)[0]:
+            common += 1
+            assert set(x.tolist()) & set(y.tolist())
+        elif not left and not right:
+            assert not set(x.tolist()) & set(y.tolist())
+    assert common > 80
+
+
+def test_op10_leaves_no_rows_behind(spark):
+    """The rows of a round and their shuffle files are gone when the next has replaced them; the setting for it is as it was."""
+    import time
+    from tablegrad.session import scratch_path
+    path, name = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x")).getParent(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    tables = lambda: {f.getPath().toString() for f in system.listStatus(path)} if system.exists(path) else set()
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+    line = [f"h{i}" for i in range(30)]
+    texts = {i: [f"o{i // 2}_{j}" for j in range(60 if i % 2 else 55)] + line + [f"p{i}_{j}" for j in range(30)] for i in range(120)}
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id bigint, text string")
+    before, files, setting = tables(), shuffled(), spark.conf.get(name, None)
+    out = passages.repeated_passages(df)
+    assert spark.conf.get(name, None) == setting
+    assert not any({"left", "near"} & set(spark.read.parquet(x).columns) for x in tables() - before)
+    for _ in range(40):  # they go in the background
+        if not (left := shuffled() - files):
+            break
+        time.sleep(0.5)
+    assert not left and out.count() == 120
+
+
 def test_op10_recall_of_changed_words(spark):
     n, texts = 600, {}
     for i in range(n):
